@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import mixing, quality, sharding, simhash
 from ._store import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,8 +19,71 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned from the labelled rows that are not held out."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~quality.held_out()))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's slot and shard."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    return sharding.assign(docs)
+
+
 @query
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents."""
     groups = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's share in a mix of all sources."""
+    found = mixing.sample(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+ORACLES["op10_source_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         md5('0:' || coalesce(doc_id::VARCHAR, '')) AS digest
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), r AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s
+), w AS (
+  SELECT *, [3.0, 1.0, 2.0][rank % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap FROM r
+), l AS (
+  SELECT *, (1.5::DOUBLE * (SELECT sum(source_size) FROM s)
+             - coalesce((SELECT sum(v.cap) FROM w v WHERE (v.cap / v.weight, v.rank) < (w.cap / w.weight, w.rank)), 0))
+            / (SELECT sum(v.weight) FROM w v WHERE (v.cap / v.weight, v.rank) >= (w.cap / w.weight, w.rank)) AS level
+  FROM w
+), t AS (
+  SELECT source, source_size,
+         least(cap, weight * (SELECT arg_min(level, (cap / weight, rank)) FROM l WHERE level <= cap / weight)) AS target
+  FROM l
+), n AS (
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+         row_number() OVER (PARTITION BY d.source ORDER BY
+           CASE WHEN size > 0 THEN floor(log2(size) * 4) ELSE -1 END DESC,
+           ('0x' || substr(digest, 1, 4))::BIGINT % 16, digest, size) AS k,
+         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+         ('0x' || substr(md5('0/' || coalesce('=' || d.source, '-')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, source, size::BIGINT AS size, source_size, target,
+       ((floor(k * rate + start) - floor((k - 1) * rate + start)) * size)::BIGINT AS taken
+FROM n
+"""
