@@ -1,11 +1,59 @@
-"""The corpus pipeline: filled in as its stages are built."""
+"""The corpus pipeline: from the documents to the sharded training mix.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all rows of its predecessor; all but the last return the columns of
+``documents``.  A driver may write each stage's result as Parquet and hand the reread table to the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from runlens.llm import decontam, mixing, quality, sharding, simhash
+from runlens.llm._store import materialise, read_table
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the quality classifier rejects; it learns from the labelled rows that are not held out."""
+    labels = read_table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~quality.held_out()))
+    return quality.score(docs, model, score_col="_score").where(f"_score >= {quality.THRESHOLD}").drop("_score")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each SimHash group."""
+    return simhash.keep_one_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that contain a benchmark item."""
+    return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take each document as often as the mix of sources asks for."""
+    return mixing.mix(docs)
+
+
+def place_in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Add each document's slot and shard."""
+    return sharding.assign(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("source mixing", mix_sources),
+    ("sharding", place_in_shards),
+]
+
+#: A trained model and SimHash groups are beyond SQL; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each but the last written to the shared folder and read again."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding, simhash
+from . import decontam, mixing, quality, sharding, simhash
 from ._store import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,39 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a document and a benchmark item that it contains."""
+    found = decontam.contained(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.withColumn("containment", F.round(F.col("found") / F.col("shingles"), 6))
+
+
+ORACLES["op2_benchmark_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x20\x09-\x0D]+') AS w
+  FROM benchmark
+), bs AS (
+  SELECT DISTINCT item_id, least(len(w), 5) AS n,
+         unnest([array_to_string(w[i:i + least(len(w), 5) - 1], ' ') for i in range(1, len(w) - least(len(w), 5) + 2)]) AS s
+  FROM b WHERE len(w) > 0
+), ds AS (
+  SELECT DISTINCT doc_id, n, unnest([array_to_string(w[i:i + n - 1], ' ') for i in range(1, len(w) - n + 2)]) AS s
+  FROM d, (SELECT DISTINCT n FROM bs) WHERE len(w) >= n
+), q AS (
+  SELECT item_id, count(*) AS shingles FROM bs GROUP BY item_id
+)
+SELECT doc_id, item_id, shingles, count(*) AS found, round(count(*) / shingles, 6) AS containment
+FROM ds JOIN bs USING (n, s) JOIN q USING (item_id)
+GROUP BY doc_id, item_id, shingles
+HAVING count(*) >= 0.8 * shingles
+"""
+
+
 @query
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's slot and shard."""

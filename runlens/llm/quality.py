@@ -101,7 +101,7 @@ class Model:
 class Ftrl:
     """Follow-the-regularised-leader, proximal, with per-slot rates."""
 
-    def __init__(self, bits: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.2) -> None:
+    def __init__(self, bits: int, alpha: float = 4.0, beta: float = 1.0, l1: float = 0.1, l2: float = 0.0) -> None:
         self.z, self.n = np.zeros(1 << bits), np.zeros(1 << bits)
         self.bias_z = self.bias_n = 0.0
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
@@ -151,7 +151,7 @@ def train(
     label_col: str = "quality",
     max_rows: int = MAX_ROWS,
     bits: int = BITS,
-    epochs: int = 3,
+    epochs: int = 2,
 ) -> Model:
     """Fit a model on the labelled rows of ``docs``.
 
