@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, quality, sharding, simhash
+from . import decontam, mixing, quality, sharding, simhash, suffixes
 from ._store import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,13 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(docs)
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps once passages of earlier documents are cut."""
+    found = suffixes.remove_repeats(read_table(spark, sf_dir, "documents"), texts=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents."""
