@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, quality, sharding, simhash, suffixes
-from ._store import read_table
+from . import decontam, mixing, quality, sharding, simhash, suffixes, tokenfile, urls
+from ._store import fresh_path, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,6 +66,37 @@ HAVING count(*) >= 0.8 * shingles
 """
 
 
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    judged = urls.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op3_url_filter"] = r"""
+WITH p AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM p
+), u AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+  FROM h
+), r(rule, rhost, rpath, verdict) AS (
+  VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+         ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block')
+), f AS (
+  SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS verdict
+  FROM u JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY page_id
+)
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN host = 'spam-farm.example.org' OR ends_with(host, '.spam-farm.example.org')
+                              THEN 'block' ELSE 'allow' END) AS verdict
+FROM u LEFT JOIN f USING (page_id)
+"""
+
+
 @query
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's slot and shard."""
@@ -80,6 +111,24 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+#: The tokenizer's file; where it lies is a parameter of the operator.
+TOKENIZER_FILE = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op8_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in a token store, as read back from its files."""
+    path = fresh_path(spark, "tokens")
+    tokenfile.write(read_table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return tokenfile.read(spark, path)
+
+
 @query
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents."""
