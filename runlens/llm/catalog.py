@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, quality, sharding, simhash, suffixes, tokenfile, urls
+from . import decontam, mixing, neighbours, quality, sharding, simhash, suffixes, tokenfile, urls
 from ._store import fresh_path, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,6 +111,12 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every query vector."""
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 #: The tokenizer's file; where it lies is a parameter of the operator.
 TOKENIZER_FILE = "word_bpe_49k.json"
 

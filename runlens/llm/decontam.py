@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialise
+from ._store import bound_batches, materialise
 from ._words import ngram_hashes, slices, words_of
 
 SHINGLE_WORDS = 5
@@ -155,6 +155,7 @@ class _Index:
     """The items' signatures and texts, and how large they are."""
 
     def __init__(self, items: DataFrame, id_col: str, text_col: str, n: int, threshold: float) -> None:
+        bound_batches(items.sparkSession)
         self.n, self.need = n, Fraction(str(threshold))
         self.items = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("item_text"))
         self.items = self.items.where("item_id is not null and item_text is not null").distinct()

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import discard, materialise
+from ._store import bound_batches, discard, materialise
 from .components import connected_components
 
 SHINGLE_WORDS = 4
@@ -56,6 +56,7 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): the fingerprint of every row's whole text, as a signed long."""
+    bound_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import discard, materialise
+from ._store import bound_batches, discard, materialise
 from ._words import text_buffers
 
 LENGTH = 50
@@ -460,6 +460,7 @@ def remove_repeats(
     """
     if not 16 <= anchor <= length <= 127:
         raise ValueError("16 <= anchor <= length <= 127 must hold")
+    bound_batches(docs.sparkSession)
     table = segments(docs, id_col, text_col)
     total = table.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(64, -(-2 * total // BUCKET_BYTES))  # packed bytes are about half

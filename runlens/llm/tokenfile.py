@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._store import discard, materialise
+from ._store import bound_batches, discard, materialise
 from ._words import slices, text_buffers
 
 END_ID = 2
@@ -222,6 +222,7 @@ def write(
     number and frame.  Null and empty texts are the end id alone.  Other columns are ignored.  An empty table makes a store
     without shards.
     """
+    bound_batches(docs.sparkSession)
     spark = docs.sparkSession
     dictionary = train_dictionary(docs, id_col, text_col, tokenizer, end_id, DICTIONARY_ROWS, DICTIONARY_BYTES)
     shared = spark.sparkContext.broadcast(dictionary)
