@@ -51,13 +51,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Let Arrow batches to Python end at 32 MB, however long their texts and blobs are, unless the session has its own bound."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key)) > 1 << 30:
-        spark.conf.set(key, str(32 << 20))
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

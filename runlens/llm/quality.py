@@ -23,7 +23,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import bound_batches
 from ._words import ngram_hashes, slices, words_of
 
 #: Labelled rows that a model is fitted on at most.
@@ -196,7 +195,6 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
 
     A column that is named like ``score_col`` is replaced.  Other columns pass unchanged; an empty table stays empty.
     """
-    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     own = [c for c in docs.columns if c != score_col]
     schema = docs.select(*own).schema.add(score_col, "double")
