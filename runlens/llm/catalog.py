@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, neighbours, quality, sharding, simhash, suffixes, tokenfile, urls
+from . import decontam, licenses, mixing, neighbours, quality, sharding, simhash, suffixes, tokenfile, urls
 from ._store import fresh_path, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +117,79 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licence, taken as a file: one in 50 is a licence file of its directory, one in 1000 of its source."""
+    chunk = F.floor(F.col("doc_id") / 500).cast("string")
+    path = (
+        F.when(F.col("doc_id") % 1000 == 0, F.concat_ws("/", "source", F.lit("LICENSE")))
+        .when(F.col("doc_id") % 50 == 0, F.concat_ws("/", "source", "lang", chunk, F.lit("LICENSE.txt")))
+        .otherwise(F.concat_ws("/", "source", "lang", chunk, F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
+    )
+    files = read_table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
+    found = licenses.scan(files)
+    return found.select("doc_id", "path", "licence", F.round("licence_score", 6).alias("licence_score"), "licence_line", "licence_from")
+
+
+_TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES)
+ORACLES["op7_license_scan"] = (
+    "WITH t(licence, body) AS (VALUES " + _TEMPLATE_ROWS + r"""), f AS (
+  SELECT doc_id, text, CASE
+    WHEN doc_id % 1000 = 0 THEN source || '/LICENSE'
+    WHEN doc_id % 50 = 0 THEN source || '/' || lang || '/' || (doc_id // 500) || '/LICENSE.txt'
+    ELSE source || '/' || lang || '/' || (doc_id // 500) || '/' || doc_id || '.txt' END AS path,
+    doc_id % 50 = 0 AS holder
+  FROM documents
+), tt AS (
+  SELECT licence, term, count(*) AS tf FROM (SELECT licence, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term FROM t)
+  GROUP BY licence, term
+), n AS (
+  SELECT count(*) AS n FROM f WHERE text IS NOT NULL
+), df AS (
+  SELECT term, count(*) AS df
+  FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS term FROM f)
+  WHERE term IN (SELECT term FROM tt) GROUP BY term
+), idf AS (
+  SELECT term, ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1.0 AS idf FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), n
+), tv AS (
+  SELECT licence, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY licence)) AS tw FROM tt JOIN idf USING (term)
+), lines AS (
+  SELECT doc_id, generate_subscripts(string_split_regex(text, '
+|
+|'), 1)::INT AS line,
+         unnest(string_split_regex(text, '
+|
+|')) AS passage FROM f
+  UNION ALL SELECT doc_id, 0, text FROM f WHERE holder
+), pt AS (
+  SELECT doc_id, line, term, count(*) AS tf
+  FROM (SELECT doc_id, line, unnest(regexp_extract_all(lower(passage), '[a-z0-9]+')) AS term FROM lines) GROUP BY ALL
+), pw AS (
+  SELECT doc_id, line, term, tf * coalesce(idf, (SELECT ln(1.0 + n) + 1.0 FROM n)) AS w FROM pt LEFT JOIN idf USING (term)
+), pn AS (
+  SELECT doc_id, line, sqrt(sum(w * w)) AS norm FROM pw GROUP BY ALL
+), near AS (
+  SELECT doc_id, line, licence, round(sum(w * tw) / any_value(norm), 9) AS score
+  FROM pw JOIN tv USING (term) JOIN pn USING (doc_id, line) GROUP BY doc_id, line, licence
+  HAVING round(sum(w * tw) / any_value(norm), 9) >= 0.8
+), own AS (
+  SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line, licence) = 1
+), j AS (
+  SELECT f.doc_id, path, holder, licence, score, line, regexp_replace(path, '/?[^/]*$', '') AS dir FROM f LEFT JOIN own USING (doc_id)
+), g AS (
+  SELECT * FROM j WHERE holder AND licence IS NOT NULL QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) = 1
+), near_dir AS (
+  SELECT j.doc_id, g.dir AS d, g.licence AS dl, g.score AS ds
+  FROM j JOIN g ON j.dir = g.dir OR starts_with(j.dir, g.dir || '/')
+  QUALIFY row_number() OVER (PARTITION BY j.doc_id ORDER BY length(g.dir) DESC) = 1
+)
+SELECT doc_id, path, coalesce(licence, dl) AS licence, round(coalesce(score, ds), 6) AS licence_score,
+       CASE WHEN licence IS NOT NULL THEN line END AS licence_line, CASE WHEN licence IS NOT NULL THEN path ELSE d END AS licence_from
+FROM j LEFT JOIN near_dir USING (doc_id)
+"""
+)
+
+
 #: The tokenizer's file; where it lies is a parameter of the operator.
 TOKENIZER_FILE = "word_bpe_49k.json"
 
