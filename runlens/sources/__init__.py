@@ -1 +1,18 @@
-"""See the README for the layout of this package."""
+"""Reading result trees, fixed-width records, job logs and CSV tables; writing results."""
+
+from .files import list_files, outcome_listing, quality_table, read_ca_values, read_csv_by_name, read_log_lines, skipped_files, tree_stats
+from .sinks import write_csv, write_matrix, write_text
+
+__all__ = [
+    "list_files",
+    "outcome_listing",
+    "quality_table",
+    "read_ca_values",
+    "read_csv_by_name",
+    "read_log_lines",
+    "skipped_files",
+    "tree_stats",
+    "write_csv",
+    "write_matrix",
+    "write_text",
+]
