@@ -1 +1,5 @@
-"""See the README for the layout of this package."""
+"""Following a growing result tree."""
+
+from .follow import follow_outcomes, follow_quality
+
+__all__ = ["follow_outcomes", "follow_quality"]
