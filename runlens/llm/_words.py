@@ -45,7 +45,7 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def slices(texts: pa.Array, most_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, most_bytes: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``most_bytes`` of text each, one row at least."""
     _, off = text_buffers(texts)
     start = 0

@@ -28,7 +28,7 @@ SHINGLE_WORDS = 4
 SEED = 42
 MAX_BITS = 4
 #: Fingerprints in a block: a variant names its fingerprint by a 16-bit place in the block.
-BLOCK = 8192
+BLOCK = 2048
 #: Variants that one bucket should get.
 BUCKET_VARIANTS = 3_000_000
 
