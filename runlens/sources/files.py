@@ -89,7 +89,7 @@ def outcome_listing(unrelaxed: DataFrame, relaxed: DataFrame) -> DataFrame:
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, pos, line): the lines of job logs, numbered within each file; any line end counts, undecodable bytes are replaced."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = spark.read.format("text").option("wholetext", True).load(path).select(F.col("_metadata.file_path").alias("file"), "value")
     return whole.select("file", F.posexplode(F.split("value", r"\R")).alias("pos", "line"))
 
 
