@@ -1,0 +1,101 @@
+"""SimHash groups against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from runlens.llm import simhash
+from runlens.llm.components import connected_components
+
+
+def slow_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words)] if len(words) < 4 else [" ".join(words[i : i + 4]) for i in range(len(words) - 3)]
+    counts = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            counts[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if counts[b] * 2 > len(shingles))
+
+
+def slow_components(ids, linked):
+    low = dict(zip(ids, ids, strict=True))
+    changed = True
+    while changed:
+        changed = False
+        for a, b in linked:
+            m = min(low[a], low[b])
+            if low[a] != m or low[b] != m:
+                low[a] = low[b] = m
+                changed = True
+    return low
+
+
+@pytest.mark.parametrize("text", [None, "", " \n\t", "One", "a b c", "A b C d", "x y z w v " * 300, "é ÉCOLE Straße 中文 words\x0band more", "nb sp is one word"])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == slow_fingerprint(text)
+
+
+def test_masks():
+    masks = simhash.flip_masks(2)
+    assert len(masks) == len(np.unique(masks)) == 2081 and np.bitwise_count(masks).max() == 2
+
+
+def test_ball_links_are_exact(spark):
+    """Fingerprints planted at 0 to 6 bits of one another, chains and a dense ball: the same components as all pairs give."""
+    rng = random.Random(4)
+    fps = set()
+    for _ in range(60):
+        f = rng.getrandbits(64)
+        fps.add(f)
+        for _ in range(rng.randrange(4)):
+            g = f
+            for b in rng.sample(range(64), rng.randrange(7)):
+                g ^= 1 << b
+            fps.add(g)
+            f = g if rng.random() < 0.5 else f
+    center = rng.getrandbits(64)
+    fps |= {center ^ 1 << b for b in range(40)}
+    ids = sorted(f - (1 << 64) * (f >> 63) for f in fps)
+    arr = np.array(ids, np.int64).view(np.uint64)
+    pairs = [(ids[i], ids[j]) for i in range(len(ids)) for j in range(i) if int(arr[i] ^ arr[j]).bit_count() <= 4]
+    want = slow_components(ids, pairs)
+    df = spark.createDataFrame([(i,) for i in ids], "fp long")
+    got = {r["node"]: r["component"] for r in connected_components(simhash.near_links(df, len(ids))).collect()}
+    assert {i: got.get(i, i) for i in ids} == want
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7), (None, 5), (200, 201), (201, 200), (200, 201)]
+    got = {r[0]: r[1] for r in connected_components(spark.createDataFrame(edges, "x long, y long")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100, 200: 200, 201: 200}
+    assert connected_components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+def test_groups(docs_of, rng):
+    base = " ".join(rng.choice("abcdefgh") * 3 + str(rng.randrange(99)) for _ in range(900))
+    near = base.replace(base.split()[450], "changed", 1)
+    rows = [(5, base), (3, base.upper()), (9, near), (7, None), (8, ""), (2, "  "), (11, "x " * 30_000), (12, "only one"), (13, "two here"), (None, base), (5, base)]
+    got = {}
+    for r in simhash.near_duplicates(docs_of(rows)).collect():
+        got.setdefault(r["doc_id"], set()).add((r["fp"], r["component_id"]))
+    ids = [i for i, _ in rows if i is not None]
+    fps = {i: slow_fingerprint(t) for i, t in rows if i is not None}
+    want = slow_components(ids, [(a, b) for a in ids for b in ids if (fps[a] ^ fps[b]).bit_count() <= 4])
+    assert {i: {c for _, c in v} for i, v in got.items() if i is not None} == {i: {want[i]} for i in ids}
+    assert {c for _, c in got[None]} == {3}
+    kept = simhash.keep_one_of_each(docs_of(rows))
+    assert kept.columns == docs_of(rows).columns
+    assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted(set(want.values()))
+    assert kept.where("doc_id is null").count() == 1
+    assert simhash.near_duplicates(docs_of([])).count() == 0 == simhash.keep_one_of_each(docs_of([])).count()
+
+
+def test_null_ids_alone(docs_of):
+    assert [r["component_id"] for r in simhash.near_duplicates(docs_of([(None, "a b c"), (None, "a b c")])).collect()] == [None, None]
