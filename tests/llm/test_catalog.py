@@ -1,0 +1,146 @@
+"""The registered queries and the pipeline on the smallest tables: against SQL where there is some, else against brute force."""
+
+import hashlib
+import math
+import os
+import sys
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import corpus_pipeline  # noqa: E402
+from runlens.llm import catalog, sharding  # noqa: E402
+from test_decontam import brute as brute_pairs  # noqa: E402
+from test_neighbours import brute as brute_neighbours  # noqa: E402
+from test_placing import fill  # noqa: E402
+from test_simhash import slow_components, slow_fingerprint  # noqa: E402
+from test_suffixes import slow  # noqa: E402
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    return con
+
+
+@pytest.fixture(scope="module")
+def texts(duck):
+    return duck.sql("SELECT doc_id, text, source FROM documents ORDER BY doc_id").fetchall()
+
+
+def norm(v):
+    return ("nan" if math.isnan(v) else float(f"{v:.9g}")) if isinstance(v, float) else v
+
+
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
+def test_against_sql(spark, duck, name):
+    df = catalog.QUERIES[name](spark, SF)
+    found = duck.execute(catalog.ORACLES[name])
+    cols = [d[0] for d in found.description]
+    assert sorted(cols) == sorted(df.columns)
+    got = sorted((tuple(norm(r[c]) for c in sorted(cols)) for r in df.collect()), key=repr)
+    want = sorted((tuple(norm(r[cols.index(c)]) for c in sorted(cols)) for r in found.fetchall()), key=repr)
+    assert got == want and got
+
+
+def test_op1(spark, duck):
+    rows = catalog.QUERIES["op1_quality_classifier"](spark, SF).collect()
+    labels = dict(duck.sql("SELECT doc_id, quality FROM labels").fetchall())
+    assert len(rows) == duck.sql("SELECT count(*) FROM documents").fetchall()[0][0]
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7)
+    own = [(labels[r["doc_id"]], r["predicted"]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    assert own and sum(a == b for a, b in own) / len(own) >= 0.8  # some 60 rows to learn from here
+
+
+def test_op4(spark, texts):
+    table = sharding.lookup_table()
+    got = {r["doc_id"]: (r["slot"], r["shard"]) for r in catalog.QUERIES["op4_sharding"](spark, SF).collect()}
+    for i, *_ in texts:
+        slot = int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16) % sharding.SIZE
+        assert got[i] == (slot, table[slot])
+
+
+def test_op5(spark, texts):
+    got = sorted(tuple(r) for r in catalog.QUERIES["op5_suffix_dedup"](spark, SF).collect())
+    assert got == sorted(x[:5] for x in slow([(i, (t or "").encode()) for i, t, _ in texts], 50))
+
+
+def test_op6(spark, duck):
+    rows = duck.sql("SELECT vec_id, embedding FROM embeddings").fetchall()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float32).astype(float)
+    want, got = brute_neighbours(ids, x, 20), defaultdict(list)
+    for r in catalog.QUERIES["op6_nearest_neighbours"](spark, SF).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == set(want)
+    hits = sum(len({v for _, v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
+    assert hits >= 0.98 * sum(map(len, want.values()))
+
+
+def test_op8(spark, texts):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path(catalog.TOKENIZER_FILE))
+    got = {r["doc_id"]: tuple(r)[1:] for r in catalog.QUERIES["op8_token_binary"](spark, SF).collect()}
+    at = 0
+    for i, t, _ in texts:
+        ids = library.encode(t or "", add_special_tokens=False).ids + [2]
+        assert got[i] == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
+def components(rows):
+    fps = {i: slow_fingerprint(t) for i, t in rows}
+    ids = sorted(fps)
+    return fps, slow_components(ids, [(a, b) for a in ids for b in ids if a < b and (fps[a] ^ fps[b]).bit_count() <= 4])
+
+
+def test_op9(spark, texts):
+    fps, low = components([(i, t) for i, t, _ in texts])
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in catalog.QUERIES["op9_simhash_near_dedup"](spark, SF).collect()}
+    assert got == {i: (f"{fps[i]:016x}", low[i]) for i in fps}
+
+
+def test_pipeline(spark, duck, texts):
+    """Every stage judged on its own input; the columns of documents stay to the last."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, items = docs.columns, duck.sql("SELECT item_id, text FROM benchmark").fetchall()
+    kept = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF).cache()
+        kept.append(docs.collect())
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == columns
+    good, single, clean, mixed, placed = kept
+    scores = {r["doc_id"]: r["predicted"] for r in catalog.QUERIES["op1_quality_classifier"](spark, SF).collect()}
+    assert {r["doc_id"] for r in good} == {i for i, p in scores.items() if p}
+    _, low = components([(r["doc_id"], r["text"]) for r in good])
+    assert sorted(r["doc_id"] for r in single) == sorted(set(low.values()))
+    leaks = {d for d, *_ in brute_pairs([(r["doc_id"], r["text"]) for r in single], items)}
+    assert sorted(r["doc_id"] for r in clean) == sorted({r["doc_id"] for r in single} - leaks)
+    copies, size, total = Counter(r["doc_id"] for r in mixed), {}, defaultdict(int)
+    for r in clean:
+        size[r["doc_id"]] = len((r["text"] or "").encode().split())
+        total[r["source"]] += size[r["doc_id"]]
+    want = fill(total)
+    for r in clean:
+        assert copies[r["doc_id"]] in (math.floor(want[r["source"]] / total[r["source"]]), math.ceil(want[r["source"]] / total[r["source"]]))
+    table = sharding.lookup_table()
+    assert Counter(r["doc_id"] for r in placed) == copies and all(r["shard"] == table[r["slot"]] for r in placed)
+    assert Counter(r["doc_id"] for r in corpus_pipeline.run(spark, SF).collect()) == copies
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
+    assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier"
