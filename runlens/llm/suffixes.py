@@ -35,17 +35,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import discard, materialise
-from ._words import text_buffers
+from ._store import materialise
 
 LENGTH = 50
 ANCHOR = 24
 #: Bytes of text in a segment (one document at least).
-SEGMENT_BYTES = 12 << 20
+SEGMENT_BYTES = 6 << 20
 #: Bytes of text for each bucket of an exchange.
 BUCKET_BYTES = 12 << 20
 NO_ID = np.iinfo(np.int64).max
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_MIXERS = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
 
 def _pack(data: bytes) -> bytes:
@@ -110,10 +110,10 @@ class Segment:
         self.at, self.doc, self.first, self.last = (np.concatenate([f[k] for f in found] or [none]) for k in (1, 2, 3, 4))
 
     def _blocks(self) -> Iterator[tuple[int, int]]:
-        """Ranges of documents, about a megabyte each: the arrays then stay in cache."""
+        """Ranges of documents, about a quarter of a megabyte each: the arrays then stay in cache."""
         lo = 0
         while lo < len(self.ids):
-            hi = max(lo + 1, int(np.searchsorted(self.ends, self.starts[lo] + (1 << 20))))
+            hi = max(lo + 1, int(np.searchsorted(self.ends, self.starts[lo] + (1 << 18))))
             yield lo, hi
             lo = hi
 
@@ -130,52 +130,37 @@ class Segment:
             words[shift::8] = own[: len(words[shift::8])]
         m = n - k + 1
         h = words[:m] * _M1
-        h ^= h >> np.uint64(29)
-        for off in [*range(8, k - 8, 8), k - 8]:
-            h = (h + words[off : off + m]) * _M2
-            h ^= h >> np.uint64(31)
-        least, width = h, 1
+        part = np.empty_like(h)
+        for i, off in enumerate([*range(8, k - 8, 8), k - 8]):
+            np.multiply(words[off : off + m], _MIXERS[i % len(_MIXERS)], out=part)
+            h += part
+        np.right_shift(h, np.uint64(29), out=part)
+        h ^= part
+        h *= _M2
+        # The upper half of a hash and the place make one number, so the least of a window is its first least hash's place.
+        least = np.bitwise_and(h, np.uint64(0xFFFFFFFF00000000), out=part)
+        least |= np.arange(m, dtype=np.uint64)
+        width = 1
         while width * 2 <= span:
             least, width = np.minimum(least[:-width], least[width:]), width * 2
         if span > width:
             rest = span - width
             least = np.minimum(least[: len(least) - rest], least[rest:])
-        doc = np.repeat(np.arange(lo, hi), self.ends[lo:hi] - self.starts[lo:hi])[: len(least)]
-        own = np.arange(len(least)) + base + self.length <= self.ends[doc]
-        new = own.copy()
-        new[1:] &= (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
+        at = least.astype(np.uint32)
+        new = np.empty(len(at), bool)
+        new[0] = True
+        np.not_equal(at[1:], at[:-1], out=new[1:])
+        starts, ends = self.starts[lo:hi] - base, self.ends[lo:hi] - base
+        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+            stop = max(a, b - self.length + 1)  # windows from here on reach into the next document
+            new[stop:b] = False
+            if a < stop:
+                new[a] = True
         first = np.flatnonzero(new)
-        # The anchor is the first place in the first window with the least hash.  If the same hash comes again inside a run of
-        # windows, later windows may lie beyond that place: there the run is cut and the next place is looked for.
-        out_first, out_last, out_at = [], [], []
-        stop = np.append(first[1:], len(least)) if len(first) else first
-        valid = np.cumsum(own)
-        last = np.minimum(stop - 1, first + (valid[stop - 1] - valid[first])) if len(first) else first
-        goal = least[first]
-        at = np.full(len(first), -1, np.int64)
-        for off in range(span):
-            open_ = at < 0
-            if not open_.any():
-                break
-            rows = np.flatnonzero(open_)
-            hit = rows[h[first[rows] + off] == goal[rows]]
-            at[hit] = first[hit] + off
-        while len(first):
-            cut = np.minimum(last, at)
-            out_first.append(first), out_last.append(cut), out_at.append(at)
-            more = np.flatnonzero(cut < last)
-            first, last, goal = cut[more] + 1, last[more], goal[more]
-            at = np.full(len(first), -1, np.int64)
-            for off in range(span):
-                rows = np.flatnonzero(at < 0)
-                if not len(rows):
-                    break
-                hit = rows[h[first[rows] + off] == goal[rows]]
-                at[hit] = first[hit] + off
-        if not out_first:
-            return np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 4
-        first, last, at = np.concatenate(out_first), np.concatenate(out_last), np.concatenate(out_at)
-        return h[at], at + base, doc[first], first + base, last + base
+        doc = np.searchsorted(ends, first, side="right")
+        last = np.minimum(np.append(first[1:], len(at)) - 1, ends[doc] - self.length)
+        at = at[first].astype(np.int64)
+        return h[at], at + base, doc + lo, first + base, last + base
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -185,19 +170,40 @@ def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
 # -- the first exchange: which anchors occur in several documents ---------------------------------------------------------
 
 
-def _hash_runs(seg: Segment, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each bucket the segment's distinct anchor hashes, and whether each is in several of its documents."""
-    order = np.lexsort((seg.doc, seg.hash))
-    h, d = seg.hash[order], seg.ids[seg.doc[order]]
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    at = np.flatnonzero(new)
-    several = np.zeros(len(at), bool)
-    if len(at):
-        several = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at)
-    h = h[at]
-    where = _bucket(h, buckets).astype(np.int64)
-    return [(h[own], several[own]) for own in (np.flatnonzero(where == b) for b in range(buckets))]
+class _Hashes:
+    """A segment's distinct anchor hashes, by bucket and in order, and the way back to its anchors."""
+
+    def __init__(self, seg: Segment, buckets: int) -> None:
+        self.order = np.argsort(seg.hash, kind="stable")
+        h = seg.hash[self.order]
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] != h[:-1]
+        at = np.flatnonzero(new)
+        self.counts = np.diff(np.append(at, len(h)))
+        self.hash = h[at]
+        d = seg.ids[seg.doc[self.order]]
+        self.several = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at) if len(at) else np.zeros(0, bool)
+        where = _bucket(self.hash, buckets).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+        self.by_bucket = np.argsort(where, kind="stable")
+        self.cuts = np.searchsorted(where[self.by_bucket], np.arange(buckets + 1))
+
+    def runs(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(bucket, hashes, whether each is in several of the segment's documents)."""
+        for b in range(len(self.cuts) - 1):
+            own = self.by_bucket[self.cuts[b] : self.cuts[b + 1]]
+            if len(own):
+                yield b, self.hash[own], self.several[own]
+
+    def wanted(self, answers: dict[int, bytes]) -> np.ndarray:
+        """Which anchors of the segment occur in several documents of the table."""
+        shared = np.zeros(len(self.hash), bool)
+        for b in range(len(self.cuts) - 1):
+            own = self.by_bucket[self.cuts[b] : self.cuts[b + 1]]
+            if len(own):
+                shared[own] = np.unpackbits(np.frombuffer(answers[b], np.uint8))[: len(own)].astype(bool)
+        out = np.zeros(len(self.order), bool)
+        out[self.order] = np.repeat(shared, self.counts)
+        return out
 
 
 def _answer_hashes(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -213,25 +219,45 @@ def _answer_hashes(pdf: pd.DataFrame) -> pd.DataFrame:
 # -- the second exchange: front-coded runs of suffixes --------------------------------------------------------------------
 
 
-def suffix_runs(seg: Segment, wanted: np.ndarray, buckets: int) -> dict[int, tuple[list[tuple[bytes, int, int]], list[int], list[list[int]]]]:
-    """For each bucket: the distinct suffixes in order, the least document id of each, and the anchors that have it.
+def suffix_runs(seg: Segment, wanted: np.ndarray, buckets: int) -> tuple[dict[int, tuple[list[tuple[bytes, int, int]], list[int]]], bytes]:
+    """For each bucket the distinct suffixes in order and the least document id of each; and notes for step 5.
 
-    A suffix is (key, right, left): right bytes from the anchor on, then left bytes before it, backwards.
+    A suffix is (key, right, left): right bytes from the anchor on, then the left bytes before it.  Notes tell, for each wanted
+    anchor, its first window, how many windows it has, its bucket and its suffix's number there.
     """
-    data, found = seg.data, {}
+    data = seg.data
     rows = np.flatnonzero(wanted)
-    where = _bucket(seg.hash[rows], buckets).tolist()
-    at, lo, hi = seg.at[rows].tolist(), seg.first[rows].tolist(), (seg.last[rows] + seg.length).tolist()
-    for row, b, a, first, stop in zip(rows.tolist(), where, at, lo, hi, strict=True):
-        key = (data[a:stop] + data[first:a][::-1], stop - a, a - first)
-        found.setdefault(b, {}).setdefault(key, []).append(row)
-    out = {}
-    ids = seg.ids[seg.doc]
-    for b, own in found.items():
-        keys = sorted(own)
-        anchors = [own[k] for k in keys]
-        out[b] = keys, [int(ids[a].min()) if len(a) > 1 else int(ids[a[0]]) for a in anchors], anchors
-    return out
+    first, at, stop = seg.first[rows], seg.at[rows], seg.last[rows] + seg.length
+    where = _bucket(seg.hash[rows], buckets).astype(np.int64)
+    found: dict[tuple[int, bytes, int, int], int] = {}
+    number = found.setdefault
+    of = [
+        number((b, data[a:z] + data[f:a], z - a, a - f), len(found))
+        for b, f, a, z in zip(where.tolist(), first.tolist(), at.tolist(), stop.tolist(), strict=True)
+    ]
+    of = np.array(of, np.int64)
+    least = np.full(len(found), NO_ID, np.int64)
+    np.minimum.at(least, of, seg.ids[seg.doc[rows]])
+    keys = list(found)
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.arange(len(keys))
+    ids = least[order].tolist() if order else []
+    runs: dict[int, tuple[list[tuple[bytes, int, int]], list[int]]] = {}
+    base = {}
+    for i, k in enumerate(order):
+        b, *key = keys[k]
+        if b not in runs:
+            runs[b], base[b] = ([], []), i
+        runs[b][0].append(tuple(key))
+        runs[b][1].append(ids[i])
+    starts = np.zeros(buckets, np.int64)
+    for b, i in base.items():
+        starts[b] = i
+    steps = np.diff(first, prepend=0).astype("<u4").tobytes()
+    windows = (seg.last[rows] - first + 1).astype(np.uint8).tobytes()
+    notes = steps + windows + where.astype("<u4").tobytes() + (rank[of] - starts[where]).astype("<u4").tobytes()
+    return runs, _pack(notes)
 
 
 def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
@@ -352,7 +378,7 @@ def least_ids(group: list[tuple[bytes, int, int, int]], length: int) -> list[int
     windows: dict[tuple[int, bytes], int] = {}
     own = {}
     for (key, right, left), doc in distinct.items():
-        text, n = key[right:][::-1] + key[:right], right + left - length + 1
+        text, n = key[right:] + key[:right], right + left - length + 1
         own[key, right, left] = spans = [(left - i, text[i : i + length]) for i in range(n)]
         for w in spans:
             if windows.setdefault(w, doc) > doc:
@@ -365,8 +391,10 @@ def least_ids(group: list[tuple[bytes, int, int, int]], length: int) -> list[int
 
 
 def _answer_runs(pdf: pd.DataFrame, length: int, anchor: int) -> pd.DataFrame:
-    """Merge a bucket's runs; for each suffix of each run, in order, the least ids of its windows."""
-    counts: list[list[int]] = [[] for _ in range(len(pdf))]
+    """Merge a bucket's runs; for each suffix of each run, in order, the least ids of its windows.  Notes pass as they are."""
+    notes = pdf[pdf["bucket"] < 0]
+    pdf = pdf[pdf["bucket"] >= 0]
+    counts: list[bytearray] = [bytearray() for _ in range(len(pdf))]
     ids: list[list[int]] = [[] for _ in range(len(pdf))]
     group: list = []
 
@@ -382,58 +410,63 @@ def _answer_runs(pdf: pd.DataFrame, length: int, anchor: int) -> pd.DataFrame:
 
     for run, shared, (_, key, right, left, doc) in LoserTree([decode_run(x) for x in pdf["run"]]):
         if shared < anchor and group:
-            close()
+            if len(group) == 1:  # by far the most frequent case
+                run_, _, _, _, doc_ = group[0]
+                counts[run_].append(1)
+                ids[run_].append(doc_)
+                group.clear()
+            else:
+                close()
         group.append((run, key, right, left, doc))
     if group:
         close()
-    own = [_pack(bytes(c) + np.array(i, "<i8").tobytes()) for c, i in zip(counts, ids, strict=True)]
-    return pd.DataFrame({"segment": pdf["segment"], "bucket": pdf["bucket"], "n": [len(c) for c in counts], "least": own})
+    own = [_pack(len(c).to_bytes(4, "little") + bytes(c) + np.array(i, "<i8").tobytes()) for c, i in zip(counts, ids, strict=True)]
+    out = pd.DataFrame({"segment": pdf["segment"], "bucket": pdf["bucket"], "least": own})
+    return pd.concat([out, notes[["segment", "bucket", "run"]].rename(columns={"run": "least"})])
 
 
 # -- cutting --------------------------------------------------------------------------------------------------------------
 
 
-def _wanted(seg: Segment, answers: dict[int, bytes], buckets: int) -> np.ndarray:
-    """Which anchors of the segment occur in several documents."""
-    found = []
-    for b, (h, _) in enumerate(_hash_runs(seg, buckets)):
-        if len(h):
-            found.append(h[np.unpackbits(np.frombuffer(answers[b], np.uint8))[: len(h)].astype(bool)])
-    return np.isin(seg.hash, np.concatenate(found)) if found else np.zeros(len(seg.hash), bool)
-
-
-def _covered(seg: Segment, runs: dict, answers: dict[int, bytes]) -> np.ndarray:
-    """How many removed windows start at, less how many end before, each byte: a running sum tells what is covered."""
-    edge = np.zeros(len(seg.data) + 1, np.int32)
-    ids = seg.ids[seg.doc]
-    for b, (keys, _, anchors) in runs.items():
-        raw = _unpack(answers[b])
-        counts = np.frombuffer(raw, np.uint8, len(keys)).astype(np.int64)
-        least = np.frombuffer(raw, "<i8", -1, len(keys)) if len(raw) > len(keys) else np.zeros(0, np.int64)
-        ends = np.cumsum(counts)
-        sizes = np.array([len(a) for a in anchors])
-        flat = np.array([x for a in anchors for x in a], np.int64)
-        of = np.repeat(np.arange(len(keys)), sizes)
-        one = counts[of] == 1
-        rows = flat[one]
-        gone = rows[least[ends[of[one]] - 1] < ids[rows]]
-        np.add.at(edge, seg.first[gone], 1)
-        np.add.at(edge, seg.last[gone] + seg.length, -1)
-        rows, each = flat[~one], counts[of[~one]]
+def _covered(ids: np.ndarray, ends: np.ndarray, length: int, notes: bytes, answers: dict[int, bytes]) -> np.ndarray:
+    """Which bytes of a segment (its documents' ids and ends) a removed window covers."""
+    raw = _unpack(notes)
+    n = len(raw) // 13
+    first = np.cumsum(np.frombuffer(raw, "<u4", n).astype(np.int64))
+    windows = np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.int64)
+    where = np.frombuffer(raw, "<u4", n, 5 * n)
+    rank = np.frombuffer(raw, "<u4", n, 9 * n).astype(np.int64)
+    own = ids[np.searchsorted(ends, first, side="right")]
+    edge = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, np.int32)
+    order = np.argsort(where, kind="stable")
+    cuts = np.searchsorted(where[order], np.arange(max(answers, default=-1) + 2))
+    for b, blob in answers.items():
+        rows = order[cuts[b] : cuts[b + 1]]
+        raw = _unpack(blob)
+        n = int.from_bytes(raw[:4], "little")
+        counts = np.frombuffer(raw, np.uint8, n, 4).astype(np.int64)
+        least = np.frombuffer(raw, "<i8", -1, 4 + n) if n else np.zeros(0, np.int64)
+        stop = np.cumsum(counts)
+        r = rank[rows]
+        one = counts[r] == 1
+        gone = rows[one][least[stop[r[one]] - 1] < own[rows[one]]]
+        np.add.at(edge, first[gone], 1)
+        np.add.at(edge, first[gone] + windows[gone] - 1 + length, -1)
+        rows, r = rows[~one], r[~one]
         if len(rows):
+            each = counts[r]
             step = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-            row = np.repeat(rows, each)
-            low = least[np.repeat(ends[of[~one]] - each, each) + step]
-            start = (seg.first[row] + step)[low < ids[row]]
+            low = least[np.repeat(stop[r] - each, each) + step]
+            start = (np.repeat(first[rows], each) + step)[low < np.repeat(own[rows], each)]
             np.add.at(edge, start, 1)
-            np.add.at(edge, start + seg.length, -1)
+            np.add.at(edge, start + length, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
-def _cut(seg: Segment, covered: np.ndarray, texts: bool) -> pd.DataFrame:
+def _cut(ids: np.ndarray, ends: np.ndarray, data: bytes, covered: np.ndarray, texts: bool) -> pd.DataFrame:
     out = []
-    raw = np.frombuffer(seg.data, np.uint8)
-    for doc, lo, hi in zip(seg.ids.tolist(), seg.starts.tolist(), seg.ends.tolist(), strict=True):
+    raw = np.frombuffer(data, np.uint8)
+    for doc, lo, hi in zip(ids.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
         gone = covered[lo:hi]
         n = int(gone.sum())
         if n:
@@ -442,7 +475,7 @@ def _cut(seg: Segment, covered: np.ndarray, texts: bool) -> pd.DataFrame:
             kept = raw[lo:hi][~gone].tobytes()
         else:
             starts = stops = np.zeros(0, np.int64)
-            kept = seg.data[lo:hi]
+            kept = data[lo:hi]
         row = (None if doc == NO_ID else doc, hi - lo, n, len(starts), hashlib.sha256(kept).hexdigest(), starts.astype(np.int64), stops.astype(np.int64))
         out.append((*row, kept) if texts else row)
     return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "starts", "stops", *["kept"] * texts])
@@ -464,44 +497,49 @@ def remove_repeats(
     total = table.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(64, -(-2 * total // BUCKET_BYTES))  # packed bytes are about half
 
-    def each(pdfs: Iterator[pd.DataFrame]) -> Iterator[tuple[int, Segment]]:
+    def each(pdfs: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in pdfs:
-            for r in pdf.itertuples(index=False):
-                yield r.segment, Segment(r.ids, r.ends, r.text, length, anchor), r
+            yield from pdf.itertuples(index=False)
 
     def send_hashes(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for number, seg, _ in each(pdfs):
-            own = [(number, b, _pack(h.tobytes()), np.packbits(f).tobytes()) for b, (h, f) in enumerate(_hash_runs(seg, buckets)) if len(h)]
+        for r in each(pdfs):
+            seg = Segment(r.ids, r.ends, r.text, length, anchor)
+            own = [(r.segment, b, _pack(h.tobytes()), np.packbits(f).tobytes()) for b, h, f in _Hashes(seg, buckets).runs()]
             yield pd.DataFrame(own, columns=["segment", "bucket", "hashes", "several"])
 
     sent = table.mapInPandas(send_hashes, "segment long, bucket int, hashes binary, several binary")
     bits = sent.groupBy("bucket").applyInPandas(_answer_hashes, "segment long, bucket int, bits binary")
-    known = _with_answers(table, materialise(bits, "anchor-bits"), "bits")
 
     def send_runs(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for number, seg, r in each(pdfs):
-            runs = suffix_runs(seg, _wanted(seg, dict(zip(r.buckets, r.answers, strict=True)), buckets), buckets)
-            yield pd.DataFrame([(number, b, front_code(k, i)) for b, (k, i, _) in runs.items()], columns=["segment", "bucket", "run"])
-
-    runs = known.mapInPandas(send_runs, "segment long, bucket int, run binary")
-    merged = runs.groupBy("bucket").applyInPandas(lambda pdf: _answer_runs(pdf, length, anchor), "segment long, bucket int, n int, least binary")
-    least = materialise(merged, "least-ids")
-    both = _with_answers(known, least, "least", "least_buckets", "least_answers")
+        for r in each(pdfs):
+            seg = Segment(r.ids, r.ends, r.text, length, anchor)
+            wanted = _Hashes(seg, buckets).wanted(dict(zip(r.buckets, r.answers, strict=True)))
+            runs, notes = suffix_runs(seg, wanted, buckets)
+            out = [(r.segment, b, b, front_code(k, i)) for b, (k, i) in runs.items()]
+            # Notes travel with the runs, to any bucket, and come back with the answers.
+            out.append((r.segment, r.segment % 1_000_003 % buckets, -1, notes))
+            yield pd.DataFrame(out, columns=["segment", "goes", "bucket", "run"])
+
+    known = _with_answers(table, bits, "bits")
+    runs = known.mapInPandas(send_runs, "segment long, goes int, bucket int, run binary")
+    merged = runs.groupBy("goes").applyInPandas(lambda pdf: _answer_runs(pdf, length, anchor), "segment long, bucket int, least binary")
+    both = _with_answers(table, merged, "least")
 
     def cut(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, seg, r in each(pdfs):
-            wanted = _wanted(seg, dict(zip(r.buckets, r.answers, strict=True)), buckets)
-            runs = suffix_runs(seg, wanted, buckets)
-            yield _cut(seg, _covered(seg, runs, dict(zip(r.least_buckets, r.least_answers, strict=True))), texts)
+        for r in each(pdfs):
+            answers = dict(zip(r.buckets, r.answers, strict=True))
+            ids, ends = np.frombuffer(r.ids, np.int64), np.frombuffer(r.ends, np.int64)
+            covered = _covered(ids, ends, length, answers.pop(-1), answers)
+            yield _cut(ids, ends, _unpack(r.text), covered, texts)
 
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, stops array<long>"
     return both.mapInPandas(cut, out + ", kept binary" * texts)
 
 
-def _with_answers(table: DataFrame, answers: DataFrame, col: str, buckets: str = "buckets", values: str = "answers") -> DataFrame:
-    """Each segment's row with the answers that it got, as two arrays (null if none)."""
-    own = answers.groupBy("segment").agg(F.collect_list(F.struct("bucket", col)).alias("_all"))
-    own = own.select("segment", F.col("_all.bucket").alias(buckets), F.col(f"_all.{col}").alias(values))
-    empty = F.array().cast("array<int>"), F.array().cast("array<binary>")
+def _with_answers(table: DataFrame, answers: DataFrame, col: str) -> DataFrame:
+    """Each segment's row with the answers that it got, as two arrays (empty if none)."""
+    own = materialise(answers, "answers").groupBy("segment").agg(F.collect_list(F.struct("bucket", col)).alias("all"))
+    own = own.select("segment", F.col("all.bucket").alias("buckets"), F.col(f"all.{col}").alias("answers"))
     joined = table.join(own, "segment", "left")
-    return joined.withColumn(buckets, F.coalesce(buckets, empty[0])).withColumn(values, F.coalesce(values, empty[1]))
+    empty = {"buckets": F.array().cast("array<int>"), "answers": F.array().cast("array<binary>")}
+    return joined.withColumns({c: F.coalesce(c, e) for c, e in empty.items()})

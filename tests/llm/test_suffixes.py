@@ -30,24 +30,28 @@ def slow(rows, length):
 
 def in_process(rows, length, anchor, per_segment, buckets):
     """The steps of remove_repeats, each exchange played by a dictionary."""
-    segs = {}
+    segs, hashes = {}, {}
     for k in range(0, len(rows), per_segment):
         own = rows[k : k + per_segment]
         ends = np.cumsum([len(t) for _, t in own], dtype=np.int64)
         segs[k] = suffixes.Segment(np.array([d for d, _ in own], np.int64).tobytes(), ends.tobytes(), suffixes._pack(b"".join(t for _, t in own)), length, anchor)
-    sent = [(k, b, suffixes._pack(h.tobytes()), np.packbits(f).tobytes()) for k, s in segs.items() for b, (h, f) in enumerate(suffixes._hash_runs(s, buckets)) if len(h)]
+        hashes[k] = suffixes._Hashes(segs[k], buckets)
+    sent = [(k, b, suffixes._pack(h.tobytes()), np.packbits(f).tobytes()) for k, x in hashes.items() for b, h, f in x.runs()]
     bits = {}
     for _, g in pd.DataFrame(sent, columns=["segment", "bucket", "hashes", "several"]).groupby("bucket"):
         bits |= {(r.segment, r.bucket): r.bits for r in suffixes._answer_hashes(g).itertuples()}
-    wanted = {k: suffixes._wanted(s, {b: v for (x, b), v in bits.items() if x == k}, buckets) for k, s in segs.items()}
+    wanted = {k: x.wanted({b: v for (y, b), v in bits.items() if y == k}) for k, x in hashes.items()}
     runs = {k: suffixes.suffix_runs(s, wanted[k], buckets) for k, s in segs.items()}
-    blobs = [(k, b, suffixes.front_code(r[0], r[1])) for k, own in runs.items() for b, r in own.items()]
+    blobs = [(k, b, b, suffixes.front_code(*r)) for k, (own, _) in runs.items() for b, r in own.items()]
+    blobs += [(k, k % buckets, -1, notes) for k, (_, notes) in runs.items()]
     least = {}
-    for _, g in pd.DataFrame(blobs, columns=["segment", "bucket", "run"]).groupby("bucket"):
+    for _, g in pd.DataFrame(blobs, columns=["segment", "goes", "bucket", "run"]).groupby("goes"):
         least |= {(r.segment, r.bucket): r.least for r in suffixes._answer_runs(g, length, anchor).itertuples()}
     out = []
     for k, s in segs.items():
-        cut = suffixes._cut(s, suffixes._covered(s, runs[k], {b: v for (x, b), v in least.items() if x == k}), True)
+        answers = {b: v for (x, b), v in least.items() if x == k}
+        covered = suffixes._covered(s.ids, s.ends, length, answers.pop(-1), answers)
+        cut = suffixes._cut(s.ids, s.ends, s.data, covered, True)
         out += [tuple(r[:5]) + (r[7],) for r in cut.itertuples(index=False)]
     return out
 
