@@ -139,8 +139,10 @@ def _open(name: str) -> DigestArray:
 
 
 def _ship(spark: SparkSession, image: bytes) -> str:
-    """Give the image to every executor; Spark fetches it from the driver into each executor's own folder."""
+    """Give the image to every executor; Spark fetches it from the driver into each executor's own folder.  An image goes once."""
     name = f"digests-{hashlib.md5(image).hexdigest()}"
+    if any(uri.rsplit("/", 1)[-1] == name for uri in spark.sparkContext.listFiles):
+        return name
     path = os.path.join(tempfile.mkdtemp(), name)
     with open(path, "wb") as f:
         f.write(image)

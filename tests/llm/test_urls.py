@@ -50,6 +50,7 @@ def test_verdicts(spark, most):
     assert out.columns == ["page_id", "url", "html", "host", "path", "rule", "verdict"]
     got = {r["page_id"]: tuple(r)[3:] for r in out.collect()}
     assert got == {i: plain(u, RULES, urls.BLOCKED_HOSTS) for i, u in enumerate(cases)}
+    assert urls.judge(df, RULES, urls.BLOCKED_HOSTS, most_bytes=most).count() == len(cases)  # the same list once more
 
 
 def test_collisions_are_confirmed(tmp_path, monkeypatch):
