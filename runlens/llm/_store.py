@@ -6,8 +6,10 @@ master is a single local JVM, as in tests, a temporary folder takes its stead.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +53,22 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Spark bring this package to its Python workers, wherever the driver has it from; once for each application."""
+    sc = spark.sparkContext
+    if any(uri.endswith("/runlens-package.zip") for uri in sc.listFiles):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(), "runlens-package.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    own = os.path.join(folder, name)
+                    out.write(own, os.path.relpath(own, os.path.dirname(top)))
+    sc.addPyFile(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

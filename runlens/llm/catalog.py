@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontam, licenses, mixing, neighbours, quality, sharding, simhash, suffixes, tokenfile, urls
-from ._store import fresh_path, read_table
+from ._store import fresh_path, read_table, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[f.__name__] = f
-    return f
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 @query
@@ -154,12 +160,14 @@ ORACLES["op7_license_scan"] = (
 ), tv AS (
   SELECT licence, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY licence)) AS tw FROM tt JOIN idf USING (term)
 ), lines AS (
-  SELECT doc_id, generate_subscripts(string_split_regex(text, '
+  SELECT doc_id, generate_subscripts(string_split_regex(text, '
+|
+|
+'), 1)::INT AS line,
+         unnest(string_split_regex(text, '
 |
-|'), 1)::INT AS line,
-         unnest(string_split_regex(text, '
 |
-|')) AS passage FROM f
+')) AS passage FROM f
   UNION ALL SELECT doc_id, 0, text FROM f WHERE holder
 ), pt AS (
   SELECT doc_id, line, term, count(*) AS tf
