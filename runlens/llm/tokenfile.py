@@ -23,6 +23,7 @@ combining marks) is encoded as a whole.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -42,7 +43,7 @@ MAGIC, TAIL = b"RLTOKID1", b"RLTOKEND\n"
 #: Documents that the dictionary is trained on at most, and the dictionary's size.
 DICTIONARY_ROWS, DICTIONARY_BYTES = 2000, 64 << 10
 #: Bytes of frames in a shard (one document at least), and distinct pieces that a worker's cache holds.
-SHARD_BYTES, CACHE_PIECES = 16 << 20, 1_000_000
+SHARD_BYTES, CACHE_PIECES = 8 << 20, 400_000
 LEVEL = 3
 _NO_ID = np.iinfo(np.int64).max
 
@@ -54,6 +55,16 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+#: A piece that is one pre-token whatever stands around it; how many are joined to one text.
+_PLAIN, _JOINED = re.compile("[a-zÀ-ÖØ-öø-ÿ]+"), 2000
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each range, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Encoder:
     """Encodes columns of texts with a tokenizer file, keeping the ids of pieces it has met."""
 
@@ -63,36 +74,71 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
+        self.ends_word = np.zeros(self.vocabulary, bool)
+        self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self._reset()
 
     def _reset(self) -> None:
         self.known: dict[bytes, int] = {}
         self.pool, self.used = np.empty(1 << 20, np.uint32), 0
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.missed = 0
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         """The library's ids of whole texts."""
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _fresh(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many belong to each piece) of pieces that aren't known.
+
+        Words of plain letters are one pre-token each and their last id marks a word's end, so many of them go to the library as one
+        text and are told apart again by those marks; all other pieces go as texts of their own.
+        """
+        texts = [p.decode("utf-8") for p in pieces]
+        plain = [i for i, t in enumerate(texts) if _PLAIN.fullmatch(t)]
+        rest = [i for i, t in enumerate(texts) if not _PLAIN.fullmatch(t)]
+        flat, sizes, order = [], [], []
+        for k in range(0, len(plain), _JOINED):
+            own = plain[k : k + _JOINED]
+            ids = np.array(self.whole([" ".join([texts[i] for i in own])])[0], np.uint32)
+            ends = np.flatnonzero(self.ends_word[ids])
+            if len(ends) != len(own) or (len(ids) and ends[-1] != len(ids) - 1):  # a vocabulary without such marks
+                rest += own
+                continue
+            flat.append(ids)
+            sizes.append(np.diff(ends, prepend=-1))
+            order += own
+        found = self.whole([texts[i] for i in rest])
+        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        flat.append(np.fromiter((i for f in found for i in f), np.uint32, int(sizes[-1].sum())))
+        order += rest
+        ids, sizes = np.concatenate(flat), np.concatenate(sizes).astype(np.int64)
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        starts = (np.cumsum(sizes) - sizes)[back]
+        return ids[_ranges(starts, sizes[back])], sizes[back]
+
     def _places(self, pieces: list[bytes]) -> np.ndarray:
-        """The number in the pool of each piece."""
-        known = self.known
-        new = [p for p in pieces if p not in known]
-        if new:
-            if len(known) + len(new) > CACHE_PIECES and known:
-                self._reset()
-                known, new = self.known, pieces
-            found = self.whole([p.decode("utf-8") for p in new])
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for f in found for i in f), np.uint32, int(sizes.sum()))
-            while self.used + len(flat) > len(self.pool):
+        """The number of each piece in the pool.  What the full cache has no room for stands in the pool until the next call."""
+        kept = len(self.known)
+        self.starts, self.sizes = self.starts[:kept], self.sizes[:kept]
+        self.used = int(self.starts[-1] + self.sizes[-1]) if kept else 0
+        if self.missed > 4 * CACHE_PIECES:
+            self._reset()
+        places = np.fromiter((self.known.get(p, -1) for p in pieces), np.int64, len(pieces))
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            ids, sizes = self._fresh([pieces[i] for i in new])
+            while self.used + len(ids) > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.empty(len(self.pool), np.uint32)])
-            self.pool[self.used : self.used + len(flat)] = flat
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+            self.pool[self.used : self.used + len(ids)] = ids
+            places[new] = np.arange(len(self.starts), len(self.starts) + len(new))
+            room = max(0, CACHE_PIECES - len(self.known))
+            self.known.update((pieces[i], int(places[i])) for i in new[:room])
+            self.missed += max(0, len(new) - room)
             self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
-            self.used += len(flat)
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        return places
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, whole; null and empty texts have none."""
@@ -104,7 +150,7 @@ class Encoder:
         n = len(off) - 1
         if not len(data):
             return [np.zeros(0, np.uint32)] * n
-        marks = np.flatnonzero((data == 0xCC) | (data == 0xCD) | ((data == 0x3C) & (np.append(data[1:], 0) == 0x7C)))
+        marks = np.flatnonzero((data == 0xCC) | (data == 0xCD) | ((data == 0x3C) & (np.append(data[1:], np.uint8(0)) == 0x7C)))
         slow = set((np.searchsorted(off, marks, side="right") - 1).tolist())
         kind = _CLASS[data]
         solid = kind > 0
@@ -118,9 +164,8 @@ class Encoder:
         column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]).dictionary_encode()
         place = self._places(column.dictionary.to_pylist())[column.indices.to_numpy(zero_copy_only=False)] if len(at) else np.zeros(0, np.int64)
         sizes = self.sizes[place]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        flat = self.pool[np.repeat(self.starts[place] - ends[:-1], sizes) + np.arange(ends[-1])]
-        cut = ends[bounds]
+        flat = self.pool[_ranges(self.starts[place], sizes)]
+        cut = np.concatenate([[0], np.cumsum(sizes)])[bounds]
         out = [flat[cut[i] : cut[i + 1]] for i in range(n)]
         for i in slow:
             out[i] = np.array(self.whole([texts[i].as_py()])[0], np.uint32)
