@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._store import materialise
+
 #: A word is a run of characters outside space and 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -77,8 +79,12 @@ def _copies(
     share: float,
     most: float,
     seed: int,
+    keep: bool,
 ) -> DataFrame:
-    """(row, size, source_size, target, copies): row is a struct of the payload columns."""
+    """(row, size, source_size, target, copies): row is a struct of the payload columns.
+
+    ``keep`` writes the counted rows down, so that words are counted once and not for each of the sums that need them.
+    """
     source = F.col(source_col).cast("string")
     size = words(F.col(text_col))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
@@ -92,6 +98,7 @@ def _copies(
     rows = rows.withColumn(
         "class", F.when(F.col("size") > 0, F.floor(F.log2(F.col("size").cast("double")) * CLASSES)).otherwise(-1).cast("int")
     ).withColumn("part", F.conv(F.substring("digest", 1, 4), 16, 10).cast("int") % SHARES)
+    rows = materialise(rows, "sizes") if keep else rows
     buckets = rows.groupBy("key", "class", "part").agg(
         F.first("source").alias("source"), F.count("*").alias("n"), F.sum("size").alias("words")
     )
@@ -131,7 +138,7 @@ def sample(
     rows count each; order ties are broken by the id's digest and size, and rows that tie in both are interchangeable.
     The same rows and seed give the same copies.  An empty table gives an empty one.  Other columns are ignored.
     """
-    found = _copies(docs, [id_col, source_col], id_col, text_col, source_col, weights, share, most, seed)
+    found = _copies(docs, [id_col, source_col], id_col, text_col, source_col, weights, share, most, seed, keep=True)
     return found.select(
         F.col("row")[id_col].alias("doc_id"), F.col("row")[source_col].alias("source"), "size", "source_size", "target", "copies"
     )
@@ -148,6 +155,6 @@ def mix(
     seed: int = 0,
 ) -> DataFrame:
     """The mix itself: each row of ``docs``, all its columns, as often as ``sample`` takes it."""
-    found = _copies(docs, docs.columns, id_col, text_col, source_col, weights, share, most, seed)
+    found = _copies(docs, docs.columns, id_col, text_col, source_col, weights, share, most, seed, keep=False)
     found = found.where("copies > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"))
     return found.select("row.*")
