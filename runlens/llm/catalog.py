@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontam, licenses, mixing, neighbours, quality, sharding, simhash, suffixes, tokenfile, urls
-from ._store import fresh_path, read_table, ship_package
+from ._store import fresh_path, prepare, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +18,7 @@ ORACLES: dict[str, str] = {}
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare(spark)
         return f(spark, sf_dir)
 
     QUERIES[f.__name__] = run
@@ -220,7 +220,7 @@ def op8_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents."""
     groups = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
-    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 @query

@@ -1,17 +1,26 @@
 """SimHash near-duplicates by meet-in-the-middle ball hashing.
 
-Two 64-bit fingerprints differ in at most 2r bits exactly if some value lies within r bits of
-both.  So every distinct fingerprint emits all values within r bits of it (2,081 for r = 2), the
-values are shuffled, and fingerprints that meet in a value are linked.  A variant travels as a
-fingerprint's place in its block and the number of the flip mask, two bytes each way, and is
-rebuilt where it arrives.  Fingerprints that meet in one value are all within 2r bits of one
-another, so a star from the first of them loses no connection and no pair list is ever made; each
-of its links is verified by a bit count, and each bucket sends on a spanning forest only.
+Two 64-bit fingerprints differ in at most 2r bits exactly if some value lies within r bits of both.  So every distinct
+fingerprint emits all values within r bits of it (2,081 for r = 2), the values are shuffled, and fingerprints that meet in a
+value are linked.
+
+A variant's bucket is a linear function of its bits, so the bucket of a fingerprint's variant is the fingerprint's own bucket
+combined with that of the flipped bits.  The variants that a fingerprint has in a bucket are therefore known from the fingerprint
+alone: it travels once to each bucket that it has variants in, eight bytes instead of up to all of its variants, and is expanded
+there, part by part, within bounded memory.
+
+Fingerprints that meet in one value are all within 2r bits of one another, so a star from the first of them loses no
+connection and no pair list is ever made; each of its links is verified by a bit count, and each bucket sends on a spanning
+forest only.
+
+Documents can be looked at in several ways (``View``): each has its own fingerprint, and documents are linked if any of them is near.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -24,48 +33,82 @@ from pyspark.sql import functions as F
 from ._store import discard, materialise
 from .components import connected_components
 
-SHINGLE_WORDS = 4
-SEED = 42
 MAX_BITS = 4
-#: Fingerprints in a block: a variant names its fingerprint by a 16-bit place in the block.
-BLOCK = 2048
-#: Variants that one bucket should get.
-BUCKET_VARIANTS = 3_000_000
+#: Fingerprints that travel together.
+BLOCK = 8192
+#: Variants that are expanded at a time, and fingerprints that one bucket may hold.
+PART_VARIANTS, BUCKET_FINGERPRINTS = 2_000_000, 25_000_000
+LEAST_BUCKETS = 128
 
 
-def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
-    """The text's 64-bit SimHash over its word shingles; 0 if it has no words."""
-    if not text:
-        return 0
-    words = text.encode().lower().split()  # of bytes: A-Z only, and the six ASCII spaces
-    if not words:
-        return 0
-    if len(words) < shingle_words:
-        shingles, n = [b" ".join(words)], 1
-    else:
-        n = len(words) - shingle_words + 1
-        shingles = map(b" ".join, zip(*(words[i : n + i] for i in range(shingle_words)), strict=True))
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(s, seed) for s in shingles), dtype="<u8", count=n)
+@dataclass(frozen=True)
+class View:
+    """What is hashed: runs of ``words`` words, each as often as it occurs or (``distinct``) once; ``salt`` makes another view of the same."""
+
+    words: int = 4
+    seed: int = 42
+    distinct: bool = False
+    salt: int = 0
+
+
+SHINGLES = View()
+#: Shingles of four words, and three independent views of the set of words.  An edit changes few words but many shingles: with these a pair
+#: whose five-word shingles have a Jaccard similarity of 0.8 or more is nearly always linked, directly or by others of its group.
+NEAR_COPIES = (SHINGLES, *(View(1, 42, True, salt) for salt in (1, 2, 3)))
+
+
+def _fold(h: np.ndarray) -> int:
+    """The fingerprint of hashes: bits that more than half of them have."""
     ones = np.zeros(64, np.int64)
-    for i in range(0, n, 1 << 14):
+    for i in range(0, len(h), 1 << 14):
         bits = np.unpackbits(h[i : i + (1 << 14)].view(np.uint8), bitorder="little").reshape(-1, 64)
         ones += bits.sum(axis=0, dtype=np.uint32)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
+
 
+def _salted(h: np.ndarray, salt: int) -> np.ndarray:
+    h = (h ^ np.uint64(salt * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row's whole text, as a signed long."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+
+def fingerprints_of(text: str | None, views: Sequence[View] = (SHINGLES,)) -> list[int]:
+    """The text's 64-bit SimHash in each view; 0 if it has no words.  A text shorter than a shingle is one shingle."""
+    words = text.encode().lower().split() if text else []  # of bytes: A-Z only, and the six ASCII spaces
+    if not words:
+        return [0] * len(views)
+    digest, hashed, out = xxhash.xxh64_intdigest, {}, []
+    for view in views:
+        key = view.words, view.seed, view.distinct
+        if key not in hashed:
+            size = min(view.words, len(words))
+            n = len(words) - size + 1
+            shingles = words if size == 1 else map(b" ".join, zip(*(words[i : n + i] for i in range(size)), strict=True))
+            if view.distinct:
+                shingles = dict.fromkeys(shingles)
+                n = len(shingles)
+            hashed[key] = np.fromiter((digest(s, view.seed) for s in shingles), dtype="<u8", count=n)
+        out.append(_fold(_salted(hashed[key], view.salt) if view.salt else hashed[key]))
+    return out
+
+
+def fingerprint(text: str | None, view: View = SHINGLES) -> int:
+    """The text's fingerprint in one view."""
+    return fingerprints_of(text, (view,))[0]
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", views: Sequence[View] = (SHINGLES,)) -> DataFrame:
+    """(doc_id, fp0, fp1, ...): the fingerprints of every row's whole text, as signed longs."""
+    names = ["doc_id", *[f"fp{k}" for k in range(len(views))]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [fingerprint(t.as_py()) for t in batch.column(1)]
-            fp = np.array(own, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], schema=schema)
+            own = np.array([fingerprints_of(t.as_py(), views) for t in batch.column(1)], dtype=np.uint64).reshape(-1, len(views)).view(np.int64)
+            cols = [pa.array(np.ascontiguousarray(own[:, k]), pa.int64()) for k in range(len(views))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def flip_masks(radius: int) -> np.ndarray:
@@ -74,22 +117,15 @@ def flip_masks(radius: int) -> np.ndarray:
     return np.array(own, dtype=np.uint64)
 
 
-def _bucket_of(variants: np.ndarray, buckets: int) -> np.ndarray:
-    mixed = variants * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+_CHECKS = np.random.default_rng(1).integers(1, 1 << 64, 40, dtype=np.uint64)
 
 
-def _emit(fps: np.ndarray, masks: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    """For each bucket: the block's fingerprints that reach it, and each variant's fingerprint and mask."""
-    where = _bucket_of((fps[:, None] ^ masks[None, :]).ravel(), buckets).astype(np.uint32)
-    order = np.argsort(where, kind="stable")
-    ends = np.searchsorted(where[order], np.arange(buckets + 1))
-    for b in range(buckets):
-        own = order[ends[b] : ends[b + 1]]
-        if len(own):
-            of, mask = np.divmod(own, len(masks))
-            used, counts = np.unique(of, return_counts=True)
-            yield b, fps[used].tobytes(), counts.astype(np.uint16).tobytes(), mask.astype(np.uint16).tobytes()
+def syndrome(values: np.ndarray, bits: int) -> np.ndarray:
+    """``bits`` parities of each value's bits: linear, that of a ^ b is that of a ^ that of b."""
+    out = np.zeros(len(values), np.int64)
+    for i in range(bits):
+        out |= (np.bitwise_count(values & _CHECKS[i]) & 1).astype(np.int64) << i
+    return out
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -106,26 +142,49 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def _meet(pdf: pd.DataFrame, masks: np.ndarray, max_bits: int) -> pd.DataFrame:
-    """The spanning forest of the fingerprints that meet in this bucket's variants."""
-    fps = [np.frombuffer(x, "<u8") for x in pdf["fps"]]
-    used = np.concatenate(fps)
-    counts = np.concatenate([np.frombuffer(x, np.uint16) for x in pdf["counts"]])
-    flips = np.concatenate([np.frombuffer(x, np.uint16) for x in pdf["masks"]])
-    of = np.repeat(np.arange(len(used), dtype=np.uint32), counts)
-    variant = used[of] ^ masks[flips]
-    order = np.argsort(variant)
-    variant, of = variant[order], of[order]
-    new = np.ones(len(variant), bool)
-    new[1:] = variant[1:] != variant[:-1]
-    first = of[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    met = first != of
-    links = np.unique(first[met].astype(np.uint64) << np.uint64(32) | of[met].astype(np.uint64))
-    a, b = (links >> np.uint64(32)).astype(np.int64), (links & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    near = np.bitwise_count(used[a] ^ used[b]) <= max_bits
-    root = _roots(len(used), a[near], b[near])
-    linked = np.flatnonzero(root != np.arange(len(used)))
-    return pd.DataFrame({"a": used[linked].view(np.int64), "b": used[root[linked]].view(np.int64)})
+def _by_syndrome(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of values by syndrome, and where each syndrome starts."""
+    s = syndrome(values, bits)
+    order = np.argsort(s, kind="stable")
+    return order, np.searchsorted(s[order], np.arange((1 << bits) + 1))
+
+
+def _meet(bucket: int, fps: np.ndarray, bits: int, masks: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest (a, b) of the fingerprints that meet in the bucket's variants."""
+    fps = np.unique(fps)
+    more = 0
+    while len(fps) * len(masks) >> bits + more > PART_VARIANTS:
+        more += 1
+    own, cuts = _by_syndrome(fps, bits + more)
+    flips, flip_cuts = _by_syndrome(masks, bits + more)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for part in range(1 << more):
+        goal = bucket | part << bits
+        variants, of = [], []
+        for s in np.flatnonzero(cuts[1:] > cuts[:-1]):
+            f = flips[flip_cuts[s ^ goal] : flip_cuts[(s ^ goal) + 1]]
+            if len(f):
+                mine = own[cuts[s] : cuts[s + 1]]
+                variants.append((fps[mine][:, None] ^ masks[f][None, :]).ravel())
+                of.append(np.repeat(mine, len(f)))
+        if not variants:
+            continue
+        variant, of = np.concatenate(variants), np.concatenate(of)
+        order = np.argsort(variant)
+        variant, of = variant[order], of[order]
+        again = np.zeros(len(variant), bool)
+        again[1:] = variant[1:] == variant[:-1]
+        starts = np.flatnonzero(~again)
+        hit = np.flatnonzero(again)
+        first = of[starts[np.searchsorted(starts, hit, side="right") - 1]]
+        links = np.unique(first.astype(np.uint64) << np.uint64(32) | of[hit].astype(np.uint64))
+        x, y = (links >> np.uint64(32)).astype(np.int64), (links & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        near = np.bitwise_count(fps[x] ^ fps[y]) <= max_bits
+        a.append(x[near])
+        b.append(y[near])
+    root = _roots(len(fps), np.concatenate(a), np.concatenate(b))
+    linked = np.flatnonzero(root != np.arange(len(fps)))
+    return fps[linked].view(np.int64), fps[root[linked]].view(np.int64)
 
 
 def near_links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFrame:
@@ -136,58 +195,72 @@ def near_links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFra
     if max_bits % 2:
         raise ValueError("the ball's radius is half of max_bits, which must be even")
     masks = flip_masks(max_bits // 2)
-    buckets = max(64, -(-n * len(masks) // BUCKET_VARIANTS))
+    bits = (LEAST_BUCKETS - 1).bit_length()
+    while n * min(1.0, len(masks) / (1 << bits)) > BUCKET_FINGERPRINTS:
+        bits += 1
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[np.ndarray] = []
-
-        def out() -> pd.DataFrame:
-            return pd.DataFrame(_emit(np.concatenate(held), masks, buckets), columns=["bucket", "fps", "counts", "masks"])
-
+        reached = np.unique(syndrome(masks, bits))
         for pdf in batches:
             fps = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-            while len(fps):
-                room = BLOCK - sum(map(len, held))
-                held.append(fps[:room])
-                fps = fps[room:]
-                if sum(map(len, held)) == BLOCK:
-                    yield out()
-                    held.clear()
-        if held:
-            yield out()
+            for i in range(0, len(fps), BLOCK):
+                block = fps[i : i + BLOCK]
+                order, cuts = _by_syndrome(block, bits)
+                goes: dict[int, list[np.ndarray]] = {}
+                for s in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+                    for b in (reached ^ s).tolist():
+                        goes.setdefault(b, []).append(block[order[cuts[s] : cuts[s + 1]]])
+                yield pd.DataFrame([(b, np.concatenate(x).tobytes()) for b, x in goes.items()], columns=["bucket", "fps"])
 
-    variants = distinct.select("fp").mapInPandas(emit, "bucket int, fps binary, counts binary, masks binary")
-    return variants.groupBy("bucket").applyInPandas(lambda pdf: _meet(pdf, masks, max_bits), "a long, b long")
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        fps = np.concatenate([np.frombuffer(x, "<u8") for x in pdf["fps"]])
+        return pd.DataFrame(dict(zip("ab", _meet(int(pdf["bucket"].iloc[0]), fps, bits, masks, max_bits), strict=True)))
+
+    variants = distinct.select("fp").repartition(max(1, -(-n // BLOCK))).mapInPandas(emit, "bucket int, fps binary")
+    return variants.groupBy("bucket").applyInPandas(meet, "a long, b long")
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, views: Sequence[View] = (SHINGLES,)
 ) -> DataFrame:
-    """One row per input row: (doc_id, fp, component_id).
+    """One row per input row: (doc_id, fp0, ..., component_id).
 
-    Rows whose fingerprints differ in at most ``max_bits`` bits are linked; component_id is the
-    smallest doc_id reachable over links, the row's own included.  Null and empty texts, and texts of white
-    space, have fingerprint 0 and are linked like any other.  Texts shorter than a shingle are one shingle.
-    Repeated rows each get a row.  A null doc_id is never a component's smallest while another is there; a component of null
-    ids alone has a null component_id.  Other columns are ignored.  An empty table gives an empty one.
+    Rows whose fingerprints differ in at most ``max_bits`` bits in any view are linked; component_id is the smallest doc_id reachable
+    over links, the row's own included.  Null and empty texts, and texts of white space, have fingerprint 0 and are linked like any
+    other.  Texts shorter than a shingle are one shingle.  Repeated rows each get a row.  A null doc_id is never a component's
+    smallest while another is there; a component of null ids alone has a null component_id.  Other columns are ignored.  An empty
+    table gives an empty one.
     """
-    own = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
-    least = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    links = connected_components(near_links(least, least.count(), max_bits))
-    joined = least.join(links.withColumnRenamed("node", "fp"), "fp", "left")
-    joined = joined.withColumn("component", F.coalesce("component", "fp"))
+    fps = [f"fp{k}" for k in range(len(views))]
+    own = materialise(fingerprints(docs, id_col, text_col, views), "fingerprints")
+    # One node for each combination of fingerprints: copies are one node from here on.
+    nodes = own.groupBy(*fps).agg(F.min("doc_id").alias("least")).select(*fps, "least", F.monotonically_increasing_id().alias("node"))
+    nodes = materialise(nodes, "nodes")
+    edges, spent = [], []
+    for fp in fps:
+        heads = materialise(nodes.groupBy(F.col(fp).alias("fp")).agg(F.min("node").alias("head")), "heads")
+        spent.append(heads)
+        if len(fps) > 1:
+            edges.append(nodes.join(heads, nodes[fp] == heads["fp"]).where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")))
+        links = near_links(heads, heads.count(), max_bits)
+        ends = [heads.select(F.col("fp").alias(e), F.col("head").alias(f"{e}_head")) for e in "ab"]
+        edges.append(links.join(ends[0], "a").join(ends[1], "b").select(F.col("a_head").alias("a"), F.col("b_head").alias("b")))
+    found = connected_components(reduce(DataFrame.union, edges))
+    joined = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    groups = materialise(joined.join(smallest, "component").select("fp", "component_id"), "groups")
-    discard(least)
-    return own.join(groups, "fp").select("doc_id", "fp", "component_id")
+    groups = materialise(joined.join(smallest, "component").select(*fps, "component_id"), "groups")
+    discard(nodes, *spent)
+    return own.join(groups, fps).select("doc_id", *fps, "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+def keep_one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, views: Sequence[View] = NEAR_COPIES
+) -> DataFrame:
     """The rows of ``docs``, all columns kept, that have the smallest id of their near-duplicate group.
 
     Rows with a null id stay (they can't be told apart).  Rows that repeat a kept id come once.
     """
-    groups = near_duplicates(docs, id_col, text_col, max_bits)
+    groups = near_duplicates(docs, id_col, text_col, max_bits, views)
     gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
+    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
     return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))

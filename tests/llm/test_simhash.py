@@ -84,13 +84,13 @@ def test_groups(docs_of, rng):
     rows = [(5, base), (3, base.upper()), (9, near), (7, None), (8, ""), (2, "  "), (11, "x " * 30_000), (12, "only one"), (13, "two here"), (None, base), (5, base)]
     got = {}
     for r in simhash.near_duplicates(docs_of(rows)).collect():
-        got.setdefault(r["doc_id"], set()).add((r["fp"], r["component_id"]))
+        got.setdefault(r["doc_id"], set()).add((r["fp0"], r["component_id"]))
     ids = [i for i, _ in rows if i is not None]
     fps = {i: slow_fingerprint(t) for i, t in rows if i is not None}
     want = slow_components(ids, [(a, b) for a in ids for b in ids if (fps[a] ^ fps[b]).bit_count() <= 4])
     assert {i: {c for _, c in v} for i, v in got.items() if i is not None} == {i: {want[i]} for i in ids}
     assert {c for _, c in got[None]} == {3}
-    kept = simhash.keep_one_of_each(docs_of(rows))
+    kept = simhash.keep_one_of_each(docs_of(rows), views=(simhash.SHINGLES,))
     assert kept.columns == docs_of(rows).columns
     assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted(set(want.values()))
     assert kept.where("doc_id is null").count() == 1
@@ -99,3 +99,36 @@ def test_groups(docs_of, rng):
 
 def test_null_ids_alone(docs_of):
     assert [r["component_id"] for r in simhash.near_duplicates(docs_of([(None, "a b c"), (None, "a b c")])).collect()] == [None, None]
+
+
+def test_syndromes_are_linear_and_parts_lose_nothing(monkeypatch):
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 1 << 64, 50, dtype=np.uint64), rng.integers(0, 1 << 64, 50, dtype=np.uint64)
+    assert (simhash.syndrome(a ^ b, 9) == simhash.syndrome(a, 9) ^ simhash.syndrome(b, 9)).all()
+    masks = simhash.flip_masks(2)
+    fps = np.unique(np.concatenate([a, a ^ np.uint64(0b11), a ^ np.uint64(0b111100)]))
+    whole = {tuple(x) for k in range(4) for x in zip(*simhash._meet(k, fps, 2, masks, 4), strict=True)}
+    monkeypatch.setattr(simhash, "PART_VARIANTS", 500)
+    assert {tuple(x) for k in range(4) for x in zip(*simhash._meet(k, fps, 2, masks, 4), strict=True)} == whole and whole
+
+
+def test_views(docs_of, rng):
+    """Near copies with some words changed, and unlike texts: linked if any view is near, by brute force over the same fingerprints."""
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+    rows = []
+    for i in range(30):
+        base = [rng.choice(words) for _ in range(300)]
+        rows.append((10 * i, " ".join(base)))
+        for k in range(1, rng.randrange(1, 4)):
+            copy = list(base)
+            for _ in range(6):
+                copy[rng.randrange(300)] = rng.choice(words)
+            rows.append((10 * i + k, " ".join(copy)))
+    fps = {i: simhash.fingerprints_of(t, simhash.NEAR_COPIES) for i, t in rows}
+    near = lambda a, b: any((x ^ y).bit_count() <= 4 for x, y in zip(fps[a], fps[b], strict=True))
+    want = slow_components(sorted(fps), [(a, b) for a in fps for b in fps if a < b and near(a, b)])
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs_of(rows), views=simhash.NEAR_COPIES).collect()}
+    assert got == want and all(c // 10 == i // 10 for i, c in got.items())
+    assert sum(c % 10 == 0 for c in got.values()) / len(got) > 0.8
+    kept = simhash.keep_one_of_each(docs_of(rows)).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(want.values()))
