@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from runlens.llm import decontam, mixing, quality, sharding, simhash
-from runlens.llm._store import materialise, read_table, ship_package
+from runlens.llm._store import materialise, prepare, read_table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects; it learns from the labelled rows that are not held out."""
-    ship_package(spark)
+    prepare(spark)
     labels = read_table(spark, sf_dir, "labels")
     model = quality.train(docs, labels.where(~quality.held_out()))
     return quality.score(docs, model, score_col="_score").where(f"_score >= {quality.THRESHOLD}").drop("_score")
@@ -22,13 +22,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each SimHash group."""
-    ship_package(spark)
+    prepare(spark)
     return simhash.keep_one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that contain a benchmark item."""
-    ship_package(spark)
+    prepare(spark)
     return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 

@@ -14,6 +14,10 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of an Arrow batch.
+ARROW_BATCH = "16m"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder's URI, without a trailing slash."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,8 +57,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Let Spark bring this package to its Python workers, wherever the driver has it from; once for each application."""
+def prepare(spark: SparkSession) -> None:
+    """What the registered queries ask of a session before they start Python workers.
+
+    Arrow batches end at ``ARROW_BATCH`` where the session leaves them at Spark's default, so that texts and blobs take little
+    memory at a time; and Spark brings this package to the workers, wherever the driver has it from, once for each application.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b") == str(64 << 20):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
     sc = spark.sparkContext
     if any(uri.endswith("/runlens-package.zip") for uri in sc.listFiles):
         return
