@@ -220,6 +220,32 @@ add(
 FROM range(0, 33) e(epoch), range(1, 6) r(repeat)""",
 )
 
+add(
+    "run_plan_models",
+    lambda s, d: planning.run_plan(s, [32], 5, models=["base", "early", "late"], targets=["t1", "t2"], samples=5).select("model", "target", "epoch", "repeat", "sample", "seed"),
+    """SELECT model, target, 32 AS epoch, repeat::INT AS repeat, sample::INT AS sample, (1000 + repeat)::INT AS seed
+FROM (VALUES ('base'), ('early'), ('late')) m(model), (VALUES ('t1'), ('t2')) t(target), range(1, 6) r(repeat), range(1, 6) x(sample)""",
+)
+
+
+def _checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days on which anything was bought have a primary checkpoint, even days an archived one."""
+    days = sample(spark, sf_dir).where("event_id % 37 = 0").select("epoch").distinct()
+    days = days.select("epoch", planning.block(F.col("epoch")).alias("block"), ((F.col("epoch") + 1) * 10000).alias("step"))
+    name = F.concat(F.col("block"), F.lit("/"), F.col("step").cast("string"))
+    listing = days.select(F.concat(F.lit("/p/"), name).alias("path")).union(days.where("epoch % 2 = 0").select(F.concat(F.lit("/a/"), name)))
+    listing = listing.union(spark.range(1).select(F.lit("/own/30").alias("path")))
+    plan = planning.run_plan(spark, range(1, 34), 1)
+    return planning.choose_checkpoint(plan, listing, "/p/{block}/{step}", "/a/{block}/{step}", {30: "/own/30"}).select("epoch", "checkpoint")
+
+
+add(
+    "checkpoint_choice",
+    _checkpoints,
+    f"""SELECT DISTINCT epoch, CASE WHEN epoch = 30 THEN '/own/30' ELSE '/p/' || {_CASE} || '/' || ((epoch + 1) * 10000) END AS checkpoint
+FROM sample WHERE event_id % 37 = 0 OR epoch = 30""",
+)
+
 # Selection
 
 COUNTS = """counts AS (
