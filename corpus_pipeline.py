@@ -1,12 +1,14 @@
 """The corpus pipeline: from the documents to the sharded training mix.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of its predecessor; all but the last return the columns of
-``documents``.  A driver may write each stage's result as Parquet and hand the reread table to the next.
+``documents``, whatever their names.  Rows with null or empty texts pass or fail by the operators' rules, repeated rows count each until
+near-dedup, and empty tables stay empty.  A driver may write each stage's result as Parquet and hand the reread table to the next.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from runlens.llm import decontam, mixing, quality, sharding, simhash
 from runlens.llm._store import materialise, prepare, read_table
@@ -17,7 +19,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     labels = read_table(spark, sf_dir, "labels")
     model = quality.train(docs, labels.where(~quality.held_out()))
-    return quality.score(docs, model, score_col="_score").where(f"_score >= {quality.THRESHOLD}").drop("_score")
+    score = "_score"
+    while score in docs.columns:
+        score += "_"
+    return quality.score(docs, model, score_col=score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
