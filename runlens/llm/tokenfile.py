@@ -43,7 +43,7 @@ MAGIC, TAIL = b"RLTOKID1", b"RLTOKEND\n"
 #: Documents that the dictionary is trained on at most, and the dictionary's size.
 DICTIONARY_ROWS, DICTIONARY_BYTES = 2000, 64 << 10
 #: Bytes of frames in a shard (one document at least), and distinct pieces that a worker's cache holds.
-SHARD_BYTES, CACHE_PIECES = 8 << 20, 400_000
+SHARD_BYTES, CACHE_PIECES = 8 << 20, 250_000
 LEVEL = 3
 _NO_ID = np.iinfo(np.int64).max
 
