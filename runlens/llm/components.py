@@ -12,13 +12,19 @@ from pyspark.sql import functions as F
 from ._store import discard, materialise
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node links its larger neighbours to the least node around it."""
+def _least_around(edges: DataFrame) -> DataFrame:
+    """The least of each node and its neighbours."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return (
-        both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
-    ).distinct()
+    return both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+
+
+def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Each node links its larger neighbours to the least node around it (edges have a > b).
+
+    ``least`` is a table, not a plan: so Spark can split the rows of a node with very many neighbours over several tasks.
+    """
+    larger = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return larger.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -42,8 +48,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     sums = F.count("*").alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("s"), F.sum("b").alias("t")
     before = None
     while True:
-        new = materialise(_small_star(_large_star(now)), "links")
-        discard(now)
+        least = materialise(_least_around(now), "least")
+        new = materialise(_small_star(_large_star(now, least)), "links")
+        discard(now, least)
         now = new
         found = tuple(now.select((F.col("b") % 1000003).alias("b"), "a").agg(*sums).first())
         if found == before or not found[0]:

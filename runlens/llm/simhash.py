@@ -247,9 +247,10 @@ def near_duplicates(
         edges.append(links.join(ends[0], "a").join(ends[1], "b").select(F.col("a_head").alias("a"), F.col("b_head").alias("b")))
     found = connected_components(reduce(DataFrame.union, edges))
     joined = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Written down, so that the join is one of plain tables and a component of very many nodes can be split over tasks.
+    smallest = materialise(joined.groupBy("component").agg(F.min("least").alias("component_id")), "smallest")
     groups = materialise(joined.join(smallest, "component").select(*fps, "component_id"), "groups")
-    discard(nodes, *spent)
+    discard(nodes, smallest, *spent)
     return own.join(groups, fps).select("doc_id", *fps, "component_id")
 
 
