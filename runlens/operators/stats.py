@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,45 +19,50 @@ def safe_corr(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_samp(x, y), F.when((F.stddev_samp(x) > 0) & (F.stddev_samp(y) > 0), F.stddev_samp(x) * F.stddev_samp(y)))
 
 
-def average_rank(df: DataFrame, column: str, rank: str, buckets: int = 64) -> DataFrame:
-    """``df`` with each row's rank by a column, equal values sharing the mean of their ranks; rows without a value are left out.
+def rank_tables(rows: DataFrame, columns: Sequence[str], buckets: int = 64) -> list[DataFrame]:
+    """For each column a table (value, rank): the rank of each of its values, equal values sharing the mean of their ranks.
 
     Values are counted once each, dealt into ranges by approximate quantiles and numbered inside a range, so neither a frequent value nor
-    the table's size makes one large task.
+    the table's size makes one large task.  Missing values have no rank.
     """
-    rows = df.where(F.col(column).isNotNull())
-    cuts = rows.approxQuantile(column, [i / buckets for i in range(1, buckets)], 0.001) if not rows.isEmpty() else []
-    counts = rows.groupBy(F.col(column).alias("_v")).agg(F.count("*").alias("_n"))
-    bucket = F.lit(0)
-    for cut in sorted(set(cuts)):
-        bucket = bucket + (F.col("_v") > cut).cast("int")
-    counts = counts.withColumn("_b", bucket)
-    totals = counts.groupBy("_b").agg(F.sum("_n").alias("_t"))
-    order = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("_b", F.coalesce(F.sum("_t").over(order), F.lit(0)).alias("_s"))  # at most ``buckets`` rows
-    inside = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    ranked = counts.withColumn("_before", before).join(F.broadcast(starts), "_b")
-    ranked = ranked.select("_v", (F.col("_s") + F.col("_before") + (F.col("_n") + 1) / 2.0).alias(rank))
-    return rows.join(ranked, rows[column] == ranked["_v"]).drop("_v")
+    quantiles = rows.approxQuantile(list(columns), [i / buckets for i in range(1, buckets)], 0.01)
+    out = []
+    for column, cuts in zip(columns, quantiles, strict=True):
+        counts = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("_n"))
+        edges = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
+        counts = counts.withColumn("_b", F.size(F.filter(edges, lambda c: c < F.col("value"))))
+        totals = counts.groupBy("_b").agg(F.sum("_n").alias("_t"))
+        order = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        starts = totals.select("_b", F.coalesce(F.sum("_t").over(order), F.lit(0)).alias("_s"))  # at most ``buckets`` rows
+        inside = Window.partitionBy("_b").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(F.broadcast(starts), "_b")
+        out.append(ranked.select("value", (F.col("_s") + F.col("_before") + (F.col("_n") + 1) / 2.0).alias("rank")))
+    return out
+
+
+def _rank_corr(rows: DataFrame, a: str, b: str, ranks_a: DataFrame, ranks_b: DataFrame) -> DataFrame:
+    left = rows.select(F.col(a).alias("a"), F.col(b).alias("b")).join(ranks_a.select(F.col("value").alias("a"), F.col("rank").alias("ra")), "a")
+    both = left.join(ranks_b.select(F.col("value").alias("b"), F.col("rank").alias("rb")), "b")
+    return both.agg(safe_corr(F.col("ra"), F.col("rb")).alias("value"))
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """One row with Spearman's correlation in the column value."""
-    rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("a"), F.col(b).alias("b"))
-    ranked = average_rank(average_rank(rows, "a", "ra"), "b", "rb")
-    return ranked.agg(safe_corr(F.col("ra"), F.col("rb")).alias("value"))
+    """One row with Spearman's correlation in the column value, over the rows where both are there."""
+    rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    return _rank_corr(rows, a, b, *rank_tables(rows, [a, b]))
 
 
 def correlations(merged: DataFrame) -> DataFrame:
-    """(metric, value): Pearson and Spearman of epoch and quality, and of quality and error."""
-    rows = merged.where("mean_plddt is not null")
+    """(metric, value): Pearson and Spearman of epoch and quality, and of quality and error; rows without any of these are left out."""
+    columns = ["epoch", "mean_plddt", "relax_error"]
+    rows = merged.dropna(subset=columns)
+    ranks = dict(zip(columns, rank_tables(rows, columns), strict=True))
     pairs = (("epoch", "mean_plddt"), ("mean_plddt", "relax_error"))
-    pearson = rows.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"pearson_{a}_{b}") for a, b in pairs])
     names = [f"pearson_{a}_{b}" for a, b in pairs]
+    pearson = rows.agg(*[safe_corr(F.col(a), F.col(b)).alias(n) for n, (a, b) in zip(names, pairs, strict=True)])
     out = pearson.select(F.inline(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names])))
     for a, b in pairs:
-        out = out.union(spearman(rows, a, b).select(F.lit(f"spearman_{a}_{b}").alias("metric"), "value"))
+        out = out.union(_rank_corr(rows, a, b, ranks[a], ranks[b]).select(F.lit(f"spearman_{a}_{b}").alias("metric"), "value"))
     return out
 
 

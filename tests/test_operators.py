@@ -125,3 +125,9 @@ def test_plans(spark):
 def test_work_list(spark):
     un, re = spark.createDataFrame([("a",), ("b",)], "k string"), spark.createDataFrame([("b",), ("b",)], "k string")
     assert outcome.pending(un, re, ["k"]).collect()[0][0] == "a" and outcome.done(un, re, ["k"]).count() == 1
+
+
+def test_correlations_of_nothing(spark):
+    empty = spark.createDataFrame([], "epoch int, mean_plddt double, relax_error int")
+    assert {r["value"] for r in stats.correlations(empty).collect()} == {None}
+    assert stats.spearman(empty, "epoch", "mean_plddt").collect()[0]["value"] is None
