@@ -1,7 +1,7 @@
 """Working tables in the folder that driver and executors share.
 
-The place is the session's ``spark.checkpoint.dir``.  Only where that is unset and the
-master is a single local JVM, as in tests, a temporary folder takes its stead.
+The place is the session's ``spark.checkpoint.dir``, or the checkpoint folder that its context was given.  Only where
+there is none and the master is a single local JVM, as in tests, a temporary folder takes its stead.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ ARROW_BATCH = "16m"
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder's URI, without a trailing slash."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
