@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,6 +80,31 @@ def prepare(spark: SparkSession) -> None:
     sc.addPyFile(path)
 
 
+def place(names: Sequence[str], wanted: str) -> int:
+    """Where a column stands: the one of exactly that name, else the first that differs in case only."""
+    if wanted in names:
+        return list(names).index(wanted)
+    for i, name in enumerate(names):
+        if name.lower() == wanted.lower():
+            return i
+    raise ValueError(f"no column {wanted!r} among {list(names)!r}")
+
+
+def plain(df: DataFrame, *wanted: str) -> tuple[DataFrame, ...]:
+    """``df`` with its columns renamed by position to c0, c1, ..., and what each wanted column is now called.
+
+    Names with dots or back-quotes, and names that differ in case only, can then do no harm.
+    """
+    at = [f"c{place(df.columns, w)}" for w in wanted]
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), *at
+
+
+def others(names: Sequence[str], new: Sequence[str]) -> list[int]:
+    """The places of the columns that aren't named like one of ``new``, in whatever case."""
+    taken = {n.lower() for n in new}
+    return [i for i, n in enumerate(names) if n.lower() not in taken]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

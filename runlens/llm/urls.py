@@ -6,7 +6,9 @@ suffix of its host joined with every prefix of its path that is as long as some
 probed by a vectorised binary search and confirmed against the stored strings, so a collision can't decide anything.
 Of the rules that fit, the longest wins.  Where none fits, the blocked hosts decide, and else the url is allowed.
 
-The image is shipped to the executors while it is small (``MOST_BYTES``); a larger list goes by a join on the same keys.
+A list is a sequence or a table of any size.  It is cut by the upper bits of its digests, and an executor builds each part's image.
+One image is shipped to the executors while it is small (``MOST_BYTES``, checked by its bytes).  A larger list stays in parts: the
+distinct questions go to the part that their digest names and are probed there by the same search.
 """
 
 from __future__ import annotations
@@ -25,13 +27,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._store import materialise, others, plain
+
 ALLOW, BLOCK = "allow", "block"
-#: (rule, verdict); a rule is a host and a path prefix, "com/": the first slash parts them.
-RULES = (("com/", ALLOW), ("example.com/en/", BLOCK), ("www.example.com/en/", ALLOW), ("net/es/", BLOCK))
+#: Fixed values.  (rule, verdict); a rule is a host and a path prefix, "com/": the first slash parts them.
+RULES = (
+    ("com/", ALLOW),
+    ("example.com/en/", BLOCK),
+    ("www.example.com/en/", ALLOW),
+    ("net/es/", BLOCK),
+    ("net/fr/", BLOCK),
+)
 #: Hosts, subdomains included, that are blocked where no rule fits.
 BLOCKED_HOSTS = ("spam-farm.example.org",)
-#: Size of a file image that is shipped to executors at most.
-MOST_BYTES = 512 << 20
+#: Size of a list whose image is shipped to executors at most, and about that of a part of a larger one.
+MOST_BYTES, PART_BYTES = 128 << 20, 16 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -44,45 +54,55 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(raw, _UPPER, _LOWER), path
 
 
-# Entries: (host, path, kind, verdict).  Kind 0 is a rule, kind 1 a blocked host; their keys differ by a first byte.
-Entry = tuple[str, str, int, str]
-
-
-def entries(rules: Sequence[tuple[str, str]], blocked_hosts: Sequence[str]) -> list[Entry]:
-    """The rules and hosts, each key once (of repeats, the last stands)."""
-    out: dict[tuple, Entry] = {}
-    for rule, verdict in rules:
-        host, slash, path = rule.partition("/")
-        if verdict not in (ALLOW, BLOCK) or not host:
-            raise ValueError(f"no rule: {rule!r}, {verdict!r}")
-        out[0, host.translate(str.maketrans(_UPPER, _LOWER)), slash + path] = (host.translate(str.maketrans(_UPPER, _LOWER)), slash + path, 0, verdict)
-    for host in blocked_hosts:
-        host = host.translate(str.maketrans(_UPPER, _LOWER))
-        out[1, host, ""] = (host, "", 1, BLOCK)
-    return list(out.values())
+# Keys: kind, host and path.  Kind 0 is a rule, kind 1 a blocked host.
 
 
 def _key(kind: int, host: str, path: str) -> bytes:
     return f"{kind}{host}\0{path}".encode()
 
 
+def _signed(digest: int) -> int:
+    return digest - (1 << 64) * (digest >> 63)
+
+
+def listing(spark: SparkSession, rules: Sequence[tuple[str, str]] | DataFrame, blocked_hosts: Sequence[str] | DataFrame) -> DataFrame:
+    """(kind, host, path, verdict) of all rules and hosts, each key once; of a rule's repeats a block stands.
+
+    A table of rules has the columns rule and verdict, one of hosts the column host; null entries are left out.
+    """
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame(pd.DataFrame(list(rules), columns=["rule", "verdict"]), "rule string, verdict string")
+    if not isinstance(blocked_hosts, DataFrame):
+        blocked_hosts = spark.createDataFrame(pd.DataFrame({"host": list(blocked_hosts)}), "host string")
+    parts = F.substring_index("rule", "/", 1)
+    own = rules.where("rule is not null").select(
+        F.lit(0).alias("kind"), F.translate(parts, _UPPER, _LOWER).alias("host"), F.substring("rule", F.length(parts) + 1, F.length("rule")).alias("path"), "verdict"
+    )
+    hosts = blocked_hosts.where("host is not null").select(F.lit(1).alias("kind"), F.translate("host", _UPPER, _LOWER).alias("host"), F.lit("").alias("path"), F.lit(BLOCK).alias("verdict"))
+    fits = (F.coalesce(F.col("verdict"), F.lit("")).isin(ALLOW, BLOCK)) & (F.col("host") != "")
+    checked = own.union(hosts).withColumn("verdict", F.when(fits, F.col("verdict")).otherwise(F.raise_error(F.concat(F.lit("no rule: "), F.col("host"), F.col("path")))))
+    return checked.groupBy("kind", "host", "path").agg(F.max("verdict").alias("verdict"))  # "block" is after "allow"
+
+
 class DigestArray:
     """A file image: counts, sorted digests, ends of the stored keys, verdicts, the path lengths in use, the keys."""
 
     @staticmethod
-    def build(own: list[Entry]) -> bytes:
-        keys = [_key(k, h, p) for h, p, k, _ in own]
+    def build(keys: list[bytes], blocks: Sequence[bool], lengths: Sequence[int]) -> bytes:
         digests = np.array([xxhash.xxh64_intdigest(k) for k in keys], dtype="<u8")
         order = np.argsort(digests, kind="stable")
-        ends = np.cumsum([len(keys[i]) for i in order], dtype="<i8") if own else np.zeros(0, "<i8")
-        verdicts = np.array([own[i][3] == BLOCK for i in order], dtype="<i8")
-        lengths = np.array(sorted({len(p) for _, p, k, _ in own if k == 0}), dtype="<i8")
+        ends = np.cumsum([len(keys[i]) for i in order], dtype="<i8") if keys else np.zeros(0, "<i8")
+        verdicts = np.asarray(blocks, dtype="<i8")[order] if keys else np.zeros(0, "<i8")
         head = np.array([len(keys), len(lengths)], dtype="<i8")
-        parts = [head, digests[order] if own else digests, ends, verdicts, lengths]
+        parts = [head, digests[order], ends, verdicts, np.asarray(lengths, dtype="<i8")]
         return b"".join(p.tobytes() for p in parts) + b"".join(keys[i] for i in order)
 
-    def __init__(self, path: str) -> None:
-        raw = np.memmap(path, dtype=np.uint8, mode="r")
+    @classmethod
+    def open(cls, path: str) -> DigestArray:
+        """The image in a file, memory-mapped."""
+        return cls(np.memmap(path, dtype=np.uint8, mode="r"))
+
+    def __init__(self, raw: np.ndarray) -> None:
         n, m = raw[:16].view("<i8")
         cut = 16 + 8 * np.cumsum([n, n, n, m])
         self.digests = raw[16 : cut[0]].view("<u8")
@@ -107,34 +127,36 @@ class DigestArray:
     def judge(self, hosts: list[str], paths: list[str]) -> list[tuple[str | None, str]]:
         """(rule or None, verdict) for each host and path."""
         asked: dict[bytes, int] = {}
-        wanted: list[list[tuple[int, str | None, int]]] = []
-        for host, path in zip(hosts, paths, strict=True):
-            own = []
-            at = 0
-            while True:
-                part = host[at:]
-                for n in self.lengths:
-                    if n <= len(path):
-                        own.append((asked.setdefault(_key(0, part, path[:n]), len(asked)), part + path[:n], len(part)))
-                own.append((asked.setdefault(_key(1, part, ""), len(asked)), None, len(part)))
-                at = host.find(".", at) + 1
-                if not at:
-                    break
-            wanted.append(own)
+        wanted = [[(asked.setdefault(k, len(asked)), rule, size) for k, rule, size in questions(h, p, self.lengths)] for h, p in zip(hosts, paths, strict=True)]
         found = self.find(list(asked))
         out = []
         for own in wanted:
-            best = max(((rule is not None, len(rule or ""), size, rule, int(found[k])) for k, rule, size in own if found[k] >= 0), key=lambda x: x[:3], default=None)
+            hits = [(rule is not None, len(rule or ""), size, rule, int(found[k])) for k, rule, size in own if found[k] >= 0]
+            best = max(hits, key=lambda x: x[:3], default=None)
             out.append((best[3], BLOCK if self.verdicts[best[4]] else ALLOW) if best else (None, ALLOW))
         return out
 
 
+def questions(host: str, path: str, lengths: Sequence[int]) -> Iterator[tuple[bytes, str | None, int]]:
+    """(key, rule or None, length of its host) of all entries that would fit the host and the path."""
+    at = 0
+    while True:
+        part = host[at:]
+        for n in lengths:
+            if n <= len(path):
+                yield _key(0, part, path[:n]), part + path[:n], len(part)
+        yield _key(1, part, ""), None, len(part)
+        at = host.find(".", at) + 1
+        if not at:
+            return
+
+
 _opened: dict[str, DigestArray] = {}
 
 
 def _open(name: str) -> DigestArray:
     if name not in _opened:
-        _opened[name] = DigestArray(SparkFiles.get(name))
+        _opened[name] = DigestArray.open(SparkFiles.get(name))
     return _opened[name]
 
 
@@ -150,24 +172,54 @@ def _ship(spark: SparkSession, image: bytes) -> str:
     return name
 
 
+def _part(digest: Column, parts: int) -> Column:
+    """The part of a list that a signed digest belongs to, by its upper bits."""
+    return F.floor(F.shiftrightunsigned(digest, 33).cast("double") * parts / float(1 << 31)).cast("int")
+
+
+def images(entries: DataFrame, lengths: Sequence[int], parts: int) -> DataFrame:
+    """(part, image): the digest array of each part of the list."""
+
+    def keyed(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            keys = [_key(k, h, p) for k, h, p in zip(pdf["kind"], pdf["host"], pdf["path"], strict=True)]
+            yield pd.DataFrame({"digest": [_signed(xxhash.xxh64_intdigest(k)) for k in keys], "key": keys, "block": pdf["verdict"] == BLOCK})
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "image": [DigestArray.build(list(pdf["key"]), list(pdf["block"]), lengths)]})
+
+    found = entries.mapInPandas(keyed, "digest long, key binary, block boolean")
+    return found.select(_part(F.col("digest"), parts).alias("part"), "key", "block").groupBy("part").applyInPandas(build, "part int, image binary")
+
+
 def judge(
-    pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, blocked_hosts: Sequence[str] = BLOCKED_HOSTS, url_col: str = "url", most_bytes: int = MOST_BYTES
+    pages: DataFrame,
+    rules: Sequence[tuple[str, str]] | DataFrame = RULES,
+    blocked_hosts: Sequence[str] | DataFrame = BLOCKED_HOSTS,
+    url_col: str = "url",
+    most_bytes: int = MOST_BYTES,
 ) -> DataFrame:
-    """``pages`` with the columns host, path, rule and verdict; columns of those names are replaced, others pass unchanged.
+    """``pages`` with the columns host, path, rule and verdict; columns of those names, in any case, are replaced, others pass unchanged.
 
     A null url, or one without ``://``, has an empty host and path; no rule fits it and it is allowed.  A rule fits its host and
     all subdomains if the path starts with the rule's (a rule without a path fits every path).  The longest rule wins, of equally
     long ones that with the longer host.  Repeated rows are judged alike; an empty table gives an empty one.
+    ``rules`` may be a table (rule, verdict) and ``blocked_hosts`` one of hosts, of any size; a rule of another verdict is an error.
     """
-    new = ("host", "path", "rule", "verdict")
-    own = [c for c in pages.columns if c not in new]
-    host, path = host_and_path(F.col(url_col).cast("string"))
-    rows = pages.select(*[F.col(c) for c in own], host.alias("host"), path.alias("path"))
-    listed = entries(rules, blocked_hosts)
-    image = DigestArray.build(listed)
-    if len(image) > most_bytes:
-        return _by_join(rows, own, listed)
-    name = _ship(pages.sparkSession, image)
+    spark, new = pages.sparkSession, ("host", "path", "rule", "verdict")
+    rows, url = plain(pages, url_col)
+    keep = others(pages.columns, new)
+    own = [f"c{i}" for i in keep]
+    host, path = host_and_path(F.col(url).cast("string"))
+    rows = rows.select(*own, host.alias("host"), path.alias("path"))
+    names = [*[pages.columns[i] for i in keep], *new]
+    entries = materialise(listing(spark, rules, blocked_hosts), "entries")
+    weight = F.coalesce(F.sum(F.octet_length("host") + F.octet_length("path") + 26), F.lit(0))
+    seen = entries.agg(weight.alias("bytes"), F.array_sort(F.collect_set(F.when(F.col("kind") == 0, F.length("path")))).alias("lengths")).first()
+    if seen["bytes"] > most_bytes:
+        return _by_parts(rows, own, entries, seen["lengths"], max(1, -(-seen["bytes"] // PART_BYTES))).toDF(*names)
+    found = images(entries, seen["lengths"], 1).first()  # MOST_BYTES at most
+    name = _ship(spark, bytes(found["image"]) if found else DigestArray.build([], [], []))
     schema = T.StructType([*rows.schema.fields, T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,21 +232,35 @@ def judge(
             at = pa.array(codes)
             yield pa.RecordBatch.from_arrays([*batch.columns, rule.take(at), verdict.take(at)], names=[*own, *new])
 
-    return rows.mapInArrow(run, schema)
-
-
-def _by_join(rows: DataFrame, own: list[str], listed: list[Entry]) -> DataFrame:
-    """The same verdicts for a list of any size: questions are exploded and joined to the list by key."""
-    spark = rows.sparkSession
-    table = spark.createDataFrame(pd.DataFrame(listed, columns=["h", "p", "kind", "verdict"]))
-    lengths = F.array(*[F.lit(n) for n in sorted({len(p) for _, p, k, _ in listed if k == 0})] or [F.lit(0)])
-    keyed = rows.withColumn("_row", F.struct(*own, "host", "path")).select("_row").withColumn("_id", F.monotonically_increasing_id())
-    labels = F.split(F.col("_row.host"), r"\.")
-    parts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    asked = keyed.select("_id", F.col("_row.path").alias("path"), F.explode(parts).alias("h"))
-    lookups = asked.select("_id", "h", "path", F.explode(lengths).alias("n")).where("n <= length(path)").select("_id", "h", F.substring("path", F.lit(1), F.col("n")).alias("p"), F.lit(0).alias("kind"))
-    lookups = lookups.union(asked.select("_id", "h", F.lit("").alias("p"), F.lit(1).alias("kind")))
-    hits = lookups.join(table, ["h", "p", "kind"])
-    best = hits.groupBy("_id").agg(F.max(F.struct((F.col("kind") == 0).alias("r"), F.length(F.concat("h", "p")).alias("n"), F.length("h").alias("hn"), F.when(F.col("kind") == 0, F.concat("h", "p")).alias("rule"), "verdict")).alias("b"))
-    out = keyed.join(best, "_id", "left")
-    return out.select("_row.*", F.col("b.rule").alias("rule"), F.coalesce(F.col("b.verdict"), F.lit(ALLOW)).alias("verdict"))
+    return rows.mapInArrow(run, schema).toDF(*names)
+
+
+def _by_parts(rows: DataFrame, own: list[str], entries: DataFrame, lengths: Sequence[int], parts: int) -> DataFrame:
+    """The same verdicts for a list that is too large to ship: each distinct question goes to the part of its digest."""
+    pairs = rows.select("host", "path").distinct()
+
+    def ask(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            out = [(h, p, _signed(xxhash.xxh64_intdigest(k)), k, rule, size) for h, p in zip(pdf["host"], pdf["path"], strict=True) for k, rule, size in questions(h, p, lengths)]
+            yield pd.DataFrame(out, columns=["host", "path", "digest", "key", "rule", "size"])
+
+    def probe(asked: pd.DataFrame, image: pd.DataFrame) -> pd.DataFrame:
+        if image.empty or asked.empty:
+            return pd.DataFrame(columns=["digest", "key", "verdict"])
+        array = DigestArray(np.frombuffer(image["image"].iloc[0], np.uint8))
+        found = array.find(list(asked["key"]))
+        hit = np.flatnonzero(found >= 0)
+        verdict = np.where(array.verdicts[found[hit]] == 1, BLOCK, ALLOW)
+        return pd.DataFrame({"digest": asked["digest"].to_numpy()[hit], "key": asked["key"].to_numpy()[hit], "verdict": verdict})
+
+    asked = materialise(pairs.mapInPandas(ask, "host string, path string, digest long, key binary, rule string, size int"), "questions")
+    # More groups than parts where there are many questions, so that none holds more than a few hundred thousand.
+    split = max(1, asked.count() // (parts * 200_000))
+    salt = F.pmod(F.col("digest"), F.lit(split)).cast("int").alias("salt")
+    distinct = asked.select("digest", "key").distinct().select(_part(F.col("digest"), parts).alias("part"), salt, "digest", "key")
+    lists = images(entries, lengths, parts).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(split - 1))))
+    hits = distinct.groupBy("part", "salt").cogroup(lists.groupBy("part", "salt")).applyInPandas(probe, "digest long, key binary, verdict string")
+    best = F.max(F.struct(F.col("rule").isNotNull().alias("r"), F.coalesce(F.length("rule"), F.lit(0)).alias("n"), "size", "rule", "verdict"))
+    judged = asked.join(hits, ["digest", "key"]).groupBy("host", "path").agg(best.alias("b"))
+    out = rows.join(judged, ["host", "path"], "left")
+    return out.select(*own, "host", "path", F.col("b.rule").alias("rule"), F.coalesce(F.col("b.verdict"), F.lit(ALLOW)).alias("verdict"))
