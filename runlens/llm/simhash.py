@@ -4,10 +4,11 @@ Two 64-bit fingerprints differ in at most 2r bits exactly if some value lies wit
 fingerprint emits all values within r bits of it (2,081 for r = 2), the values are shuffled, and fingerprints that meet in a
 value are linked.
 
-A variant's bucket is a linear function of its bits, so the bucket of a fingerprint's variant is the fingerprint's own bucket
-combined with that of the flipped bits.  The variants that a fingerprint has in a bucket are therefore known from the fingerprint
-alone: it travels once to each bucket that it has variants in, eight bytes instead of up to all of its variants, and is expanded
-there, part by part, within bounded memory.
+A variant's bucket is its 64 bits folded to ``bits`` parities, each over a group of bits of its own.  Folding is linear, so the bucket
+of a fingerprint's variant is the fingerprint's own bucket combined with that of the flipped bits, and r flipped bits change r
+parities at most.  So a fingerprint has variants in 1 + bits + bits (bits - 1) / 2 buckets (r = 2) out of 2 ** bits: it travels
+once to each of these, eight bytes instead of its variants there, and is expanded there, part by part.  With more fingerprints
+there are more bits: at 7 bits a bucket sees 29 / 128 of all, at 16 bits 137 / 65,536, so buckets stay small while copies grow slowly.
 
 Fingerprints that meet in one value are all within 2r bits of one another, so a star from the first of them loses no
 connection and no pair list is ever made; each of its links is verified by a bit count, and each bucket sends on a spanning
@@ -30,15 +31,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import discard, materialise
+from ._store import discard, materialise, plain
 from .components import connected_components
 
 MAX_BITS = 4
 #: Fingerprints that travel together.
-BLOCK = 8192
-#: Variants that are expanded at a time, and fingerprints that one bucket may hold.
-PART_VARIANTS, BUCKET_FINGERPRINTS = 2_000_000, 25_000_000
-LEAST_BUCKETS = 128
+BLOCK = 16_384
+#: Variants that are expanded at a time, fingerprints that a bucket holds on average at most, and bits of a bucket at least.
+PART_VARIANTS, BUCKET_FINGERPRINTS = 2_000_000, 500_000
+LEAST_BITS, MOST_BITS = 7, 28
 
 
 @dataclass(frozen=True)
@@ -99,15 +100,21 @@ def fingerprint(text: str | None, view: View = SHINGLES) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", views: Sequence[View] = (SHINGLES,)) -> DataFrame:
     """(doc_id, fp0, fp1, ...): the fingerprints of every row's whole text, as signed longs."""
-    names = ["doc_id", *[f"fp{k}" for k in range(len(views))]]
+    rows, i, t = plain(docs, id_col, text_col)
+    return _fingerprints(rows.select(F.col(i).cast("long").alias("doc_id"), F.col(t).cast("string").alias("text")), views)
+
+
+def _fingerprints(rows: DataFrame, views: Sequence[View]) -> DataFrame:
+    """``rows``, whose last column is the text and whose others are longs, with fingerprints in the text's stead."""
+    kept = rows.columns[:-1]
+    names = [*kept, *[f"fp{k}" for k in range(len(views))]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = np.array([fingerprints_of(t.as_py(), views) for t in batch.column(1)], dtype=np.uint64).reshape(-1, len(views)).view(np.int64)
+            own = np.array([fingerprints_of(t.as_py(), views) for t in batch.column(len(kept))], dtype=np.uint64).reshape(-1, len(views)).view(np.int64)
             cols = [pa.array(np.ascontiguousarray(own[:, k]), pa.int64()) for k in range(len(views))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], names=names)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
@@ -117,14 +124,22 @@ def flip_masks(radius: int) -> np.ndarray:
     return np.array(own, dtype=np.uint64)
 
 
-_CHECKS = np.random.default_rng(1).integers(1, 1 << 64, 40, dtype=np.uint64)
+#: The bits in a fixed order that has nothing to do with where they stand, and parities that part a bucket's work further.
+_ORDER = np.random.default_rng(1).permutation(64)
+_CHECKS = np.random.default_rng(2).integers(1, 1 << 64, 40, dtype=np.uint64)
+
 
+def syndrome(values: np.ndarray, bits: int, more: int = 0) -> np.ndarray:
+    """``bits`` parities of each value over groups of its bits that share none, then ``more`` of random bits.
 
-def syndrome(values: np.ndarray, bits: int) -> np.ndarray:
-    """``bits`` parities of each value's bits: linear, that of a ^ b is that of a ^ that of b."""
+    It is linear: that of a ^ b is that of a ^ that of b.
+    """
     out = np.zeros(len(values), np.int64)
     for i in range(bits):
-        out |= (np.bitwise_count(values & _CHECKS[i]) & 1).astype(np.int64) << i
+        group = np.uint64(sum(1 << int(b) for b in _ORDER[i::bits]))
+        out |= (np.bitwise_count(values & group) & 1).astype(np.int64) << i
+    for i in range(more):
+        out |= (np.bitwise_count(values & _CHECKS[i]) & 1).astype(np.int64) << (bits + i)
     return out
 
 
@@ -142,11 +157,12 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def _by_syndrome(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of values by syndrome, and where each syndrome starts."""
-    s = syndrome(values, bits)
+def _by_syndrome(values: np.ndarray, bits: int, more: int = 0) -> dict[int, np.ndarray]:
+    """The places of the values with each syndrome."""
+    s = syndrome(values, bits, more)
     order = np.argsort(s, kind="stable")
-    return order, np.searchsorted(s[order], np.arange((1 << bits) + 1))
+    found, at = np.unique(s[order], return_index=True)
+    return dict(zip(found.tolist(), np.split(order, at[1:]), strict=True)) if len(values) else {}
 
 
 def _meet(bucket: int, fps: np.ndarray, bits: int, masks: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,16 +171,15 @@ def _meet(bucket: int, fps: np.ndarray, bits: int, masks: np.ndarray, max_bits:
     more = 0
     while len(fps) * len(masks) >> bits + more > PART_VARIANTS:
         more += 1
-    own, cuts = _by_syndrome(fps, bits + more)
-    flips, flip_cuts = _by_syndrome(masks, bits + more)
+    own = _by_syndrome(fps, bits, more)
+    flips = _by_syndrome(masks, bits, more)
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for part in range(1 << more):
         goal = bucket | part << bits
         variants, of = [], []
-        for s in np.flatnonzero(cuts[1:] > cuts[:-1]):
-            f = flips[flip_cuts[s ^ goal] : flip_cuts[(s ^ goal) + 1]]
-            if len(f):
-                mine = own[cuts[s] : cuts[s + 1]]
+        for s, mine in own.items():
+            f = flips.get(s ^ goal)
+            if f is not None:
                 variants.append((fps[mine][:, None] ^ masks[f][None, :]).ravel())
                 of.append(np.repeat(mine, len(f)))
         if not variants:
@@ -195,8 +210,8 @@ def near_links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFra
     if max_bits % 2:
         raise ValueError("the ball's radius is half of max_bits, which must be even")
     masks = flip_masks(max_bits // 2)
-    bits = (LEAST_BUCKETS - 1).bit_length()
-    while n * min(1.0, len(masks) / (1 << bits)) > BUCKET_FINGERPRINTS:
+    bits = LEAST_BITS
+    while bits < MOST_BITS and n * len(np.unique(syndrome(masks, bits))) >> bits > BUCKET_FINGERPRINTS:
         bits += 1
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,12 +220,11 @@ def near_links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFra
             fps = pdf["fp"].to_numpy(np.int64).view(np.uint64)
             for i in range(0, len(fps), BLOCK):
                 block = fps[i : i + BLOCK]
-                order, cuts = _by_syndrome(block, bits)
-                goes: dict[int, list[np.ndarray]] = {}
-                for s in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
-                    for b in (reached ^ s).tolist():
-                        goes.setdefault(b, []).append(block[order[cuts[s] : cuts[s + 1]]])
-                yield pd.DataFrame([(b, np.concatenate(x).tobytes()) for b, x in goes.items()], columns=["bucket", "fps"])
+                goes = (syndrome(block, bits)[:, None] ^ reached[None, :]).ravel()
+                order = np.argsort(goes, kind="stable")
+                buckets, at = np.unique(goes[order], return_index=True)
+                parts = np.split(block[order // len(reached)], at[1:])
+                yield pd.DataFrame({"bucket": buckets.astype(np.int32), "fps": [x.tobytes() for x in parts]})
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         fps = np.concatenate([np.frombuffer(x, "<u8") for x in pdf["fps"]])
@@ -231,12 +245,21 @@ def near_duplicates(
     smallest while another is there; a component of null ids alone has a null component_id.  Other columns are ignored.  An empty
     table gives an empty one.
     """
-    fps = [f"fp{k}" for k in range(len(views))]
     own = materialise(fingerprints(docs, id_col, text_col, views), "fingerprints")
+    groups = _groups(own.groupBy(*_fps(views)).agg(F.min("doc_id").alias("least")), len(views), max_bits)
+    return own.join(groups, _fps(views)).select("doc_id", *_fps(views), F.col("least").alias("component_id"))
+
+
+def _fps(views: Sequence[View]) -> list[str]:
+    return [f"fp{k}" for k in range(len(views))]
+
+
+def _groups(combinations: DataFrame, views: int, max_bits: int) -> DataFrame:
+    """(fp0, ..., least): each combination of fingerprints with the least ``least`` of its component; nulls count for nothing."""
+    fps = [f"fp{k}" for k in range(views)]
     # One node for each combination of fingerprints: copies are one node from here on.
-    nodes = own.groupBy(*fps).agg(F.min("doc_id").alias("least")).select(*fps, "least", F.monotonically_increasing_id().alias("node"))
-    nodes = materialise(nodes, "nodes")
-    edges, spent = [], []
+    nodes = materialise(combinations.select(*fps, "least", F.monotonically_increasing_id().alias("node")), "nodes")
+    edges, spent = [], [nodes]
     for fp in fps:
         heads = materialise(nodes.groupBy(F.col(fp).alias("fp")).agg(F.min("node").alias("head")), "heads")
         spent.append(heads)
@@ -248,20 +271,38 @@ def near_duplicates(
     found = connected_components(reduce(DataFrame.union, edges))
     joined = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # Written down, so that the join is one of plain tables and a component of very many nodes can be split over tasks.
-    smallest = materialise(joined.groupBy("component").agg(F.min("least").alias("component_id")), "smallest")
-    groups = materialise(joined.join(smallest, "component").select(*fps, "component_id"), "groups")
-    discard(nodes, smallest, *spent)
-    return own.join(groups, fps).select("doc_id", *fps, "component_id")
+    smallest = materialise(joined.groupBy("component").agg(F.min("least").alias("least")), "smallest")
+    groups = materialise(joined.drop("least").join(smallest, "component").select(*fps, "least"), "groups")
+    discard(smallest, *spent)
+    return groups
 
 
 def keep_one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, views: Sequence[View] = NEAR_COPIES
 ) -> DataFrame:
-    """The rows of ``docs``, all columns kept, that have the smallest id of their near-duplicate group.
+    """One row of each near-duplicate group of ``docs``, all columns kept.
+
+    A row is told from others by its id and a 128-bit digest of its columns (the columns that Spark can hash: not maps).  In each group
+    the row with the smallest id stays, of several texts under that id the one with the smallest digest.  So an id that stands for
+    unlike texts loses none of them: they are in groups of their own.  Rows that agree in id and digest repeat one another and come
+    once.  Rows with a null id all stay.  Null and empty texts are one group.  Reruns keep the same rows.  An empty table stays empty.
 
-    Rows with a null id stay (they can't be told apart).  Rows that repeat a kept id come once.
+    Only ids, digests and fingerprints are shuffled for the decision; texts meet the list of rows to drop in one anti join, whose small side Spark
+    broadcasts if it is below the session's threshold.
     """
-    groups = near_duplicates(docs, id_col, text_col, max_bits, views)
-    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))
+    rows, i, t = plain(docs, id_col, text_col)
+    own = [F.col(c) for c in rows.columns]
+    hashed = [F.col(f.name) for f in rows.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    rows = rows.select(*own, F.col(i).cast("long").alias("_id"), F.xxhash64(F.lit(1), *hashed).alias("_x"), F.xxhash64(F.lit(2), *hashed).alias("_y"))
+    key, fps = ["_id", "_x", "_y"], _fps(views)
+    read = rows.where("_id is not null").select(*key, F.col(t).cast("string").alias("text"))
+    seen = materialise(_fingerprints(read, views).groupBy(*key, *fps).agg(F.count("*").alias("n")), "fingerprints")
+    groups = _groups(seen.groupBy(*fps).agg(F.min(F.struct(*key)).alias("least")), len(views), max_bits)
+    judged = seen.join(groups, fps).select(*key, "n", (F.struct(*key) == F.col("least")).alias("first"))
+    gone = materialise(judged.where("not first").select(*key), "gone")
+    again = materialise(judged.where("first and n > 1").select(*key), "repeated")
+    kept = rows.join(gone, key, "left_anti")
+    if not again.isEmpty():
+        kept = kept.join(again, key, "left_anti").select(*rows.columns).union(rows.join(again, key, "left_semi").select(*rows.columns).dropDuplicates(key))
+    discard(seen, groups)
+    return kept.select(*own).toDF(*docs.columns)

@@ -78,6 +78,15 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "x long, y long")).count() == 0
 
 
+def test_components_of_random_links(spark, rng):
+    for n, m in ((60, 40), (200, 190), (50, 300)):
+        edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + [(1000 + i, 1000 + rng.randrange(i)) for i in range(1, 30)]
+        linked = {x for e in edges if e[0] != e[1] for x in e}
+        want = slow_components(sorted(linked), edges) if all(a in linked and b in linked for a, b in edges) else slow_components(sorted(linked), [e for e in edges if e[0] != e[1]])
+        got = {r[0]: r[1] for r in connected_components(spark.createDataFrame(edges, "x long, y long")).collect()}
+        assert got == want
+
+
 def test_groups(docs_of, rng):
     base = " ".join(rng.choice("abcdefgh") * 3 + str(rng.randrange(99)) for _ in range(900))
     near = base.replace(base.split()[450], "changed", 1)
@@ -97,6 +106,34 @@ def test_groups(docs_of, rng):
     assert simhash.near_duplicates(docs_of([])).count() == 0 == simhash.keep_one_of_each(docs_of([])).count()
 
 
+def test_nothing_unlike_is_lost(spark, docs_of):
+    """One id with several texts: each text counts on its own, and reruns keep the same rows."""
+    a, other, third, fourth = ("%s words that are unlike all the others %s" % (w, " ".join(w + str(i) for i in range(40))) for w in ("first", "other", "third", "fourth"))
+    rows = [(3, a), (5, a.upper()), (5, other), (9, third), (9, fourth)]
+    for parts in (1, 3, 5):
+        kept = simhash.keep_one_of_each(docs_of(rows).repartition(parts)).collect()
+        assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(3, a), (5, other), (9, third), (9, fourth)])
+    near = [(7, a), (7, a.upper()), (7, a), (7, a + " "), (8, a)]
+    found = {tuple(r["text"] for r in simhash.keep_one_of_each(docs_of(near).repartition(p)).collect()) for p in (1, 2, 4)}
+    assert len(found) == 1 and len(found.pop()) == 1
+    more = docs_of([(1, a), (1, a)]).withColumn("m", simhash.F.create_map(simhash.F.lit("k"), simhash.F.lit(1)))
+    assert simhash.keep_one_of_each(more).count() == 1
+
+
+@pytest.mark.parametrize("bits", [7, 12, 16])
+def test_any_number_of_buckets(spark, monkeypatch, bits):
+    monkeypatch.setattr(simhash, "LEAST_BITS", bits)
+    rng = np.random.default_rng(5)
+    fps = rng.integers(0, 1 << 64, 60, dtype=np.uint64)
+    flips = simhash.flip_masks(2)
+    fps = np.unique(np.concatenate([fps, fps ^ rng.choice(flips, 60), fps ^ rng.choice(flips, 60) ^ rng.choice(flips, 60)]))
+    ids = fps.view(np.int64).tolist()
+    want = slow_components(ids, [(ids[i], ids[j]) for i in range(len(ids)) for j in range(i) if int(fps[i] ^ fps[j]).bit_count() <= 4])
+    df = spark.createDataFrame([(i,) for i in ids], "fp long")
+    got = {r["node"]: r["component"] for r in connected_components(simhash.near_links(df, len(ids))).collect()}
+    assert {i: got.get(i, i) for i in ids} == want
+
+
 def test_null_ids_alone(docs_of):
     assert [r["component_id"] for r in simhash.near_duplicates(docs_of([(None, "a b c"), (None, "a b c")])).collect()] == [None, None]
 
@@ -104,7 +141,9 @@ def test_null_ids_alone(docs_of):
 def test_syndromes_are_linear_and_parts_lose_nothing(monkeypatch):
     rng = np.random.default_rng(2)
     a, b = rng.integers(0, 1 << 64, 50, dtype=np.uint64), rng.integers(0, 1 << 64, 50, dtype=np.uint64)
-    assert (simhash.syndrome(a ^ b, 9) == simhash.syndrome(a, 9) ^ simhash.syndrome(b, 9)).all()
+    assert (simhash.syndrome(a ^ b, 9, 3) == simhash.syndrome(a, 9, 3) ^ simhash.syndrome(b, 9, 3)).all()
+    for bits in (7, 10, 16):  # a ball reaches few of the buckets
+        assert len(np.unique(simhash.syndrome(simhash.flip_masks(2), bits))) == 1 + bits + bits * (bits - 1) // 2
     masks = simhash.flip_masks(2)
     fps = np.unique(np.concatenate([a, a ^ np.uint64(0b11), a ^ np.uint64(0b111100)]))
     whole = {tuple(x) for k in range(4) for x in zip(*simhash._meet(k, fps, 2, masks, 4), strict=True)}
