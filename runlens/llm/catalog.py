@@ -236,6 +236,8 @@ WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
          md5('0:' || coalesce(doc_id::VARCHAR, '')) AS digest
   FROM documents
+), c AS (
+  SELECT count(*) AS n FROM d GROUP BY source, CASE WHEN size > 0 THEN floor(log2(size) * 4) ELSE -1 END
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
 ), r AS (
@@ -255,7 +257,7 @@ WITH d AS (
   SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
          row_number() OVER (PARTITION BY d.source ORDER BY
            CASE WHEN size > 0 THEN floor(log2(size) * 4) ELSE -1 END DESC,
-           ('0x' || substr(digest, 1, 4))::BIGINT % 16, digest, size) AS k,
+           ('0x' || substr(digest, 1, 6))::BIGINT % (SELECT greatest(16, (max(n) + 99999) // 100000) FROM c), digest, size) AS k,
          CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
          ('0x' || substr(md5('0/' || coalesce('=' || d.source, '-')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS start
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source

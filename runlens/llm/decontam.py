@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialise
+from ._store import materialise, plain
 from ._words import ngram_hashes, slices, words_of
 
 SHINGLE_WORDS = 5
@@ -99,7 +99,8 @@ def contained(
     different texts count as one item for each text.  A null doc_id is kept; items with a null id are left out.  Other columns
     are ignored.  Empty tables give an empty one.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows, i, t = plain(docs, id_col, text_col)
+    rows = rows.select(F.col(i).cast("long").alias("doc_id"), F.col(t).cast("string").alias("text"))
     index = _Index(items, item_id_col, item_text_col, n, threshold)
     if not index.size:
         return rows.sparkSession.createDataFrame([], _OUT)
@@ -131,11 +132,12 @@ def decontaminate(
     index = _Index(items, item_id_col, item_text_col, n, threshold)
     if not index.size:
         return docs
+    rows, text = plain(docs, text_col)
     if not index.small:
-        rows = materialise(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("own")), "documents")
-        texts = rows.select(F.lit(None).cast("long").alias("doc_id"), F.col("own")[text_col].cast("string").alias("text"), "row")
-        return rows.join(_by_shuffle(texts, index).select("row").distinct(), "row", "left_anti").select("own.*")
-    finder, at = index.finder(), docs.columns.index(text_col)
+        kept = materialise(rows.select(F.monotonically_increasing_id().alias("row"), F.struct(*rows.columns).alias("own")), "documents")
+        texts = kept.select(F.lit(None).cast("long").alias("doc_id"), F.col("own")[text].cast("string").alias("text"), "row")
+        return kept.join(_by_shuffle(texts, index).select("row").distinct(), "row", "left_anti").select("own.*").toDF(*docs.columns)
+    finder, at = index.finder(), rows.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = finder()
@@ -144,7 +146,7 @@ def decontaminate(
             clean[[f[0] for f in find(batch.column(at))]] = False
             yield batch.filter(pa.array(clean))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)
 
 
 _FOUND = ("item_id", "shingles", "found")
@@ -156,7 +158,8 @@ class _Index:
 
     def __init__(self, items: DataFrame, id_col: str, text_col: str, n: int, threshold: float) -> None:
         self.n, self.need = n, Fraction(str(threshold))
-        self.items = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("item_text"))
+        rows, i, t = plain(items, id_col, text_col)
+        self.items = rows.select(F.col(i).cast("long").alias("item_id"), F.col(t).cast("string").alias("item_text"))
         self.items = self.items.where("item_id is not null and item_text is not null").distinct()
         self.signatures = materialise(signatures(self.items, n, threshold).distinct(), "signatures")
         self.size = self.signatures.count()

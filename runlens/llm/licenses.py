@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._store import materialise
+from ._store import materialise, others, plain
 
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -118,16 +118,17 @@ def directory(path: Column) -> Column:
 def scan(
     files: DataFrame, path_col: str = "path", text_col: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """``files`` without its texts, with the columns licence, licence_score, licence_line and licence_from; columns of those names are replaced.
+    """``files`` without its texts, with the columns licence, licence_score, licence_line and licence_from; columns of those names, in any case, are replaced.
 
     licence_from is the file's own path, or the directory whose licence file it inherits from ('' is the top); all four are null where
     nothing is found.  If a directory has several licence files with a licence, the one with the highest score counts, then the least path.
     Null and empty texts have no licence of their own but can inherit; a null path never inherits.  Rows with one path are files of
     their own.  An empty table gives an empty one.
     """
-    new = ("licence", "licence_score", "licence_line", "licence_from", text_col)
-    own = [F.col(c) for c in files.columns if c not in new]
-    rows = files.select(F.struct(*own).alias("row"), F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("text"))
+    new = ("licence", "licence_score", "licence_line", "licence_from")
+    rows, path, text = plain(files, path_col, text_col)
+    keep = [i for i in others(files.columns, new) if f"c{i}" != text]
+    rows = rows.select(F.struct(*[F.col(f"c{i}") for i in keep]).alias("row"), F.col(path).cast("string").alias("path"), F.col(text).cast("string").alias("text"))
     weights = _weights(rows.select("text"), templates, threshold)
     some = _passages(F.col("path"), F.col("text"), weights)
     # A row's number brings a passage back to its row; written down, it stays the same whatever is computed again.
@@ -150,4 +151,4 @@ def scan(
         F.coalesce("score", "n.dir_score").alias("licence_score"),
         F.when(has, F.col("line")).alias("licence_line"),
         F.when(has, F.col("path")).otherwise(F.col("n.from")).alias("licence_from"),
-    )
+    ).toDF(*[files.columns[i] for i in keep], *new)

@@ -6,7 +6,8 @@ now and then, and a document is emitted once for each integer crossed.  Standing
 class gets its share to within a copy, so a source's words come close to its target.
 
 The order is two-level so that no task holds a source: a class of size and a share of the id's digest form a
-bucket, buckets are counted (a few hundred rows per source) and summed up, and documents are numbered inside buckets.
+bucket, buckets are counted and summed up, and documents are numbered inside buckets.  The number of shares follows from the
+rows of the largest class, so buckets stay of one size however large a source is.
 """
 
 from __future__ import annotations
@@ -14,15 +15,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._store import materialise
+from ._store import materialise, plain
 
 #: A word is a run of characters outside space and 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST_COPIES = 2.0
-#: Classes of size for each doubling, and shares of each class.
-CLASSES, SHARES = 4, 16
+#: Classes of size for each doubling, shares of each class at least, and rows of a share on average at most.
+CLASSES, SHARES, SHARE_ROWS = 4, 16, 100_000
 
 
 def words(text: Column) -> Column:
@@ -71,7 +72,7 @@ def _unit(text: Column) -> Column:
 
 def _copies(
     docs: DataFrame,
-    payload: list[str],
+    whole: bool,
     id_col: str,
     text_col: str,
     source_col: str,
@@ -79,17 +80,18 @@ def _copies(
     share: float,
     most: float,
     seed: int,
-    keep: bool,
 ) -> DataFrame:
-    """(row, size, source_size, target, copies): row is a struct of the payload columns.
+    """(row, size, source_size, target, copies): row is a struct (p0, p1, ...) of all columns (``whole``) or of id and source.
 
-    ``keep`` writes the counted rows down, so that words are counted once and not for each of the sums that need them.
+    What the sums need is written down, so that words are counted once and not for each of them.
     """
-    source = F.col(source_col).cast("string")
-    size = words(F.col(text_col))
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    docs, id_, text, source = plain(docs, id_col, text_col, source_col)
+    payload = docs.columns if whole else [id_, source]
+    source = F.col(source).cast("string")
+    size = words(F.col(text))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_).cast("string"), F.lit(""))))
     rows = docs.select(
-        F.struct(*payload).alias("row"),
+        F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate(payload)]).alias("row"),
         source.alias("source"),
         F.coalesce(F.concat(F.lit("="), source), F.lit("-")).alias("key"),  # "-": the null source
         size.alias("size"),
@@ -97,9 +99,13 @@ def _copies(
     )
     rows = rows.withColumn(
         "class", F.when(F.col("size") > 0, F.floor(F.log2(F.col("size").cast("double")) * CLASSES)).otherwise(-1).cast("int")
-    ).withColumn("part", F.conv(F.substring("digest", 1, 4), 16, 10).cast("int") % SHARES)
-    rows = materialise(rows, "sizes") if keep else rows
-    buckets = rows.groupBy("key", "class", "part").agg(
+    )
+    narrow = materialise(rows.drop("row") if whole else rows, "sizes")
+    rows = rows if whole else narrow
+    largest = narrow.groupBy("key", "class").count().agg(F.max("count")).first()[0] or 0
+    share_of = F.conv(F.substring("digest", 1, 6), 16, 10).cast("int") % max(SHARES, -(-largest // SHARE_ROWS))
+    rows, narrow = rows.withColumn("part", share_of), narrow.withColumn("part", share_of)
+    buckets = narrow.groupBy("key", "class", "part").agg(
         F.first("source").alias("source"), F.count("*").alias("n"), F.sum("size").alias("words")
     )
     sizes = buckets.groupBy("key").agg(F.first("source").alias("source"), F.sum("words").alias("source_size"))
@@ -138,9 +144,9 @@ def sample(
     rows count each; order ties are broken by the id's digest and size, and rows that tie in both are interchangeable.
     The same rows and seed give the same copies.  An empty table gives an empty one.  Other columns are ignored.
     """
-    found = _copies(docs, [id_col, source_col], id_col, text_col, source_col, weights, share, most, seed, keep=True)
+    found = _copies(docs, False, id_col, text_col, source_col, weights, share, most, seed)
     return found.select(
-        F.col("row")[id_col].alias("doc_id"), F.col("row")[source_col].alias("source"), "size", "source_size", "target", "copies"
+        F.col("row.p0").alias("doc_id"), F.col("row.p1").alias("source"), "size", "source_size", "target", "copies"
     )
 
 
@@ -155,6 +161,6 @@ def mix(
     seed: int = 0,
 ) -> DataFrame:
     """The mix itself: each row of ``docs``, all its columns, as often as ``sample`` takes it."""
-    found = _copies(docs, docs.columns, id_col, text_col, source_col, weights, share, most, seed, keep=False)
+    found = _copies(docs, True, id_col, text_col, source_col, weights, share, most, seed)
     found = found.where("copies > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"))
-    return found.select("row.*")
+    return found.select("row.*").toDF(*docs.columns)

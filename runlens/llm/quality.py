@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._store import others, plain
 from ._words import ngram_hashes, slices, words_of
 
 #: Labelled rows that a model is fitted on at most.
@@ -159,15 +160,17 @@ def train(
     with several labels counts with each of the different ones.  Of more than ``max_rows`` rows, those with the
     smallest hashes of their ids are taken.  Without any rows, every score is a half.
     """
+    marked, i, own = plain(labels, id_col, label_col)
     picked = (
-        labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
+        marked.select(F.col(i).cast("long").alias("id"), F.col(own).cast("int").alias("label"))
         .where("id is not null and label in (0, 1)")
         .distinct()
         .withColumn("pick", F.xxhash64("id", "label"))
         .orderBy("pick", "id")
         .limit(max_rows)
     )
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows, i, t = plain(docs, id_col, text_col)
+    rows = rows.select(F.col(i).cast("long").alias("id"), F.col(t).cast("string").alias("text"))
     rows = rows.join(F.broadcast(picked), "id")  # max_rows rows of three numbers at most
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,19 +196,21 @@ def train(
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with one more column, each row's score between 0 and 1 (null and empty texts get the bias's).
 
-    A column that is named like ``score_col`` is replaced.  Other columns pass unchanged; an empty table stays empty.
+    A column that is named like ``score_col``, in any case, is replaced.  Other columns pass unchanged; an empty table stays empty.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = [c for c in docs.columns if c != score_col]
-    schema = docs.select(*own).schema.add(score_col, "double")
-    at = own.index(text_col)
+    rows, text = plain(docs, text_col)
+    keep = others(docs.columns, (score_col,))
+    own = [f"c{i}" for i in keep]
+    rows = rows.select(*own, F.col(text).cast("string").alias("text"))
+    schema = rows.select(*own).schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array(shared.value.scores(batch.column(at)), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*own, score_col])
+            scores = pa.array(shared.value.scores(batch.column(len(own))), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], scores], names=[*own, "score"])
 
-    return docs.select(*own).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*[docs.columns[i] for i in keep], score_col)
 
 
 def held_out(id_col: str = "doc_id"):

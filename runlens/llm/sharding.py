@@ -16,6 +16,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._store import others, plain
+
 #: A prime; the table has this many rows, which bounds what is broadcast.
 SIZE = 65_537
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
@@ -65,9 +67,11 @@ def assign(
     """``docs`` with each row's slot and shard number.
 
     Rows with equal keys, repeated rows among them, go to one shard; null keys go where the empty text goes.  Columns that
-    are named like the two new ones are replaced.  An empty table stays empty.
+    are named like the two new ones, in any case, are replaced.  An empty table stays empty.
     """
-    own = [c for c in docs.columns if c not in (shard_col, slot_col)]
-    table = table_frame(docs.sparkSession, shards, size).select(F.col("slot").alias(slot_col), F.col("shard").alias(shard_col))
-    rows = docs.select(*own, slot(F.col(key_col), size).alias(slot_col))
-    return rows.join(F.broadcast(table), slot_col, "left").select(*own, slot_col, shard_col)
+    rows, key = plain(docs, key_col)
+    keep = others(docs.columns, (shard_col, slot_col))
+    own = [f"c{i}" for i in keep]
+    rows = rows.select(*own, slot(F.col(key), size).alias("slot"))
+    placed = rows.join(F.broadcast(table_frame(docs.sparkSession, shards, size)), "slot", "left")
+    return placed.select(*own, "slot", "shard").toDF(*[docs.columns[i] for i in keep], slot_col, shard_col)

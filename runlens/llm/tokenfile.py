@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._store import discard, materialise
+from ._store import discard, materialise, plain
 from ._words import slices, text_buffers
 
 END_ID = 2
@@ -187,9 +187,10 @@ def train_dictionary(docs: DataFrame, id_col: str, text_col: str, tokenizer: str
 
     If the samples are too few or too small for training, the dictionary is empty and frames need none.
     """
-    picked = docs.select(F.col(id_col).cast("long").alias("id")).where("id is not null").withColumn("pick", F.md5(F.col("id").cast("string")))
+    docs, i, t = plain(docs, id_col, text_col)
+    picked = docs.select(F.col(i).cast("long").alias("id")).where("id is not null").withColumn("pick", F.md5(F.col("id").cast("string")))
     picked = picked.orderBy("pick").limit(rows).select("id").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(picked), "id")
+    texts = docs.select(F.col(i).cast("long").alias("id"), F.col(t).cast("string").alias("text")).join(F.broadcast(picked), "id")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
@@ -282,7 +283,8 @@ def write(
             width = pa.array([int(dtype[2:])] * len(sizes), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), width, pa.array(packed, pa.binary())], names=["doc_id", "n", "width", "frame"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows, i, t = plain(docs, id_col, text_col)
+    rows = rows.select(F.col(i).cast("long").alias("doc_id"), F.col(t).cast("string").alias("text"))
     encoded = materialise(rows.mapInArrow(frames, "doc_id long, n long, width int, frame binary"), "frames", compression="uncompressed")
     total = encoded.select(F.coalesce(F.sum(F.octet_length("frame")), F.lit(0))).first()[0]
     parts = max(1, -(-total // shard_bytes))

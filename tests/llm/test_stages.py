@@ -3,9 +3,10 @@
 import pytest
 
 import corpus_pipeline
-from runlens.llm import quality
+from pyspark.sql import functions as F
+from runlens.llm import decontam, licenses, mixing, neighbours, quality, sharding, simhash, suffixes, urls
 
-NAMES = "_score score fp0 node least component_id item_id found row size class part key digest copies copy target h pick".split()
+NAMES = "_score score fp0 node least component_id item_id found row size class part key digest copies copy target h pick Slot Host Licence a.b Doc_Id2 text_".split()
 
 
 @pytest.fixture(scope="module")
@@ -35,9 +36,10 @@ def test_stage(spark, folder, name, stage):
     out = stage(spark, docs, folder)
     rows = out.collect()
     last = name == corpus_pipeline.STAGES[-1][0]
-    assert out.columns == docs.columns + (["slot", "shard"] if last else [])
-    given = {tuple(r) for r in docs.collect()}
-    assert all(tuple(r)[: len(docs.columns)] in given for r in rows)
+    kept = [i for i, c in enumerate(docs.columns) if not last or c.lower() not in ("slot", "shard")]
+    assert out.columns == [docs.columns[i] for i in kept] + (["slot", "shard"] if last else [])
+    given = {tuple(r[i] for i in kept) for r in docs.collect()}
+    assert all(tuple(r)[: len(kept)] in given for r in rows)
     none = stage(spark, docs.limit(0), folder)
     assert none.count() == 0 and none.columns == out.columns
     ids = [r["doc_id"] for r in rows]
@@ -57,6 +59,31 @@ def test_run(spark, folder, tmp_path):
     assert not ids & {60, 61, 62} and quality.THRESHOLD == 0.7
 
 
+def test_all_operators_with_awkward_names(spark, folder):
+    """Names with dots, and names that differ in case from a new column's or from one another."""
+    own = spark.createDataFrame([(i, f"some words of text {i}", "s", "http://a.net/fr/", f"d/{i}", "x") for i in range(30)]).toDF("Doc_ID", "text", "source", "url", "a.path", "TEXT")
+    frames = {
+        "slot": sharding.assign(own),
+        "copies": mixing.sample(own),
+        "mix": mixing.mix(own),
+        "score": quality.score(own, quality.train(own, spark.read.parquet(f"{folder}/labels.parquet"))),
+        "one": simhash.keep_one_of_each(own),
+        "groups": simhash.near_duplicates(own),
+        "clean": decontam.decontaminate(own, spark.read.parquet(f"{folder}/benchmark.parquet")),
+        "pairs": decontam.contained(own, spark.read.parquet(f"{folder}/benchmark.parquet")),
+        "verdict": urls.judge(own.toDF("Host", "Rule", "source", "url", "a.b", "VERDICT")),
+        "licence": licenses.scan(own.toDF("Licence", "text", "source", "url", "a.path", "TEXT"), path_col="a.path"),
+        "cut": suffixes.remove_repeats(own),
+        "near": neighbours.nearest(own.select(*[F.col(f"`{c}`") for c in own.columns[:1]], F.array(F.lit(1.0), F.rand(1)).alias("a.v"), F.lit(1).alias("ID")), F.col("Doc_ID") % 20 == 0, id_col="doc_id", vector_col="a.v"),
+    }
+    found = {k: (len(v.collect()), v.columns) for k, v in frames.items()}
+    assert found["slot"] == (30, [*own.columns, "slot", "shard"]) and found["mix"][1] == own.columns
+    assert found["score"] == (30, [*own.columns, "score"]) and found["one"][1] == found["clean"][1] == own.columns
+    assert found["verdict"] == (30, ["source", "url", "a.b", "host", "path", "rule", "verdict"])
+    assert found["licence"] == (30, ["source", "url", "a.path", "TEXT", "licence", "licence_score", "licence_line", "licence_from"])
+    assert found["copies"][0] == found["groups"][0] == found["cut"][0] == 30 and found["near"][0] == 40 and found["pairs"][0] == 0
+
+
 def test_rejected_documents_go(spark, folder):
     kept = {r["doc_id"] for r in corpus_pipeline.STAGES[0][1](spark, table(spark, ROWS), folder).collect()}
     assert not kept & {0, 3, 6, 9} and {1, 2, 4, 5} <= kept
