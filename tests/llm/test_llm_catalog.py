@@ -84,7 +84,7 @@ def test_op6(spark, duck):
         got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
     assert set(got) == set(want)
     hits = sum(len({v for _, v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
-    assert hits >= 0.98 * sum(map(len, want.values()))
+    assert hits >= 0.95 * sum(map(len, want.values()))
 
 
 def test_op8(spark, texts):

@@ -1,5 +1,9 @@
 """Nearest neighbours against brute force."""
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -32,10 +36,10 @@ def test_recall(spark, scale):
     x[50:90] = x[40]  # ties go to the smaller id
     ids = rng.permutation(n)
     df = spark.createDataFrame([(int(i), v.tolist(), 1, 2) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>, label int, block int")
-    got, want = run(df, k=20, block=128, query_block=16), brute(ids, x, 20)
+    got, want = run(df, k=20, cell_rows=100, block=64, pack=16), brute(ids, x, 20)
     assert set(got) == set(want)
     hits = sum(len({v for _, v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
-    assert hits / (20 * len(want)) >= 0.98
+    assert hits / (20 * len(want)) >= 0.95
     for q, rows in got.items():
         assert [r for r, *_ in rows] == list(range(1, 21))
         exact = {int(i): float((v * x[list(ids).index(q)]).sum()) for i, v in zip(ids, x, strict=True)}
@@ -45,16 +49,108 @@ def test_recall(spark, scale):
 
 def test_error_bound_holds():
     rng = np.random.default_rng(5)
-    x, q = rng.standard_normal((4000, 64)), rng.standard_normal((20, 64))
-    centre, turn = x.mean(axis=0), neighbours.rotation(64)
-    packed, norm, agree = neighbours.encode(x, centre, turn)
-    assert packed.shape == (4000, 8) and np.allclose(turn @ turn.T, np.eye(64))
-    signs = np.unpackbits(packed, axis=1) * 2.0 - 1
-    estimate = ((q - centre) @ turn) @ signs.T * (norm / agree / 8)
-    truth = (q - centre) @ (x - centre).T
-    width = neighbours.EPSILON * norm * np.sqrt((1 - agree**2) / agree**2 / 63) * np.linalg.norm(q - centre, axis=1)[:, None]
-    assert (np.abs(estimate - truth) <= width).mean() > 0.93
-    assert abs((estimate - truth).mean()) < 0.2
+    for dim in (64, 100):
+        x, q = rng.standard_normal((4000, dim)), rng.standard_normal((70, dim))
+        centre, turn = x.mean(axis=0), neighbours.rotation(dim)
+        codes, norm, agree = neighbours.encode(x, centre, turn)
+        assert codes.shape == (4000, -(-dim // 64)) and np.allclose(turn @ turn.T, np.eye(dim))
+        truth, seen = q @ x.T, 0
+        for i, estimate, bound in neighbours.Queries(q, turn).estimates(codes, norm, agree, q @ centre, neighbours.EPSILON):
+            own = truth[i]
+            assert (np.abs(estimate - own) <= bound).mean() > 0.85
+            assert abs((estimate - own).mean()) < 0.25
+            seen += len(estimate)
+        assert seen == 70
+
+
+def test_bit_counts_are_the_inner_products_of_codes():
+    """Without rounding, an estimate is the query's product with the signs; here queries are exact multiples of a step."""
+    rng = np.random.default_rng(6)
+    x, dim = rng.standard_normal((50, 96)), 96
+    q = rng.integers(0, 16, (5, dim)) * 0.5 - 3.0
+    q[:, 0], q[:, 1] = -3.0, 4.5
+    turn = np.eye(dim)
+    codes, norm, agree = neighbours.encode(x, np.zeros(dim), turn)
+    ((_, got, _),) = neighbours.Queries(q, turn).estimates(codes, norm, agree, np.zeros(5), 1.0)
+    want = q @ np.where(x > 0, 1.0, -1.0).T * (norm / agree / np.sqrt(dim))
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-3)
+
+
+def test_thresholds_are_those_of_the_estimates():
+    rng = np.random.default_rng(7)
+    for dim, scale in ((64, 1.0), (70, 50.0), (5, 0.01), (1, 1.0)):
+        x, q = rng.standard_normal((700, dim)) * scale, rng.standard_normal((40, dim)) * scale
+        x[3] = centre = x[:9].mean(axis=0)
+        turn = neighbours.rotation(dim)
+        code = neighbours.encode(x, centre, turn)
+        level = np.sort(q @ x.T, axis=1)[:, -20]
+        level[0] = -np.inf
+        mine = neighbours.Queries(q, turn)
+        for (own, hit), (_, estimate, bound) in zip(mine.reaching(*code, q @ centre, level, 1.9), mine.estimates(*code, q @ centre, 1.9), strict=True):
+            margin = estimate + bound - level[own, None]
+            sure = np.abs(margin) > 0.02 * (1 + np.abs(bound))
+            assert (hit == (margin >= 0))[sure].all() and hit[margin >= 0].all()
+
+
+SPEED = """
+import time, numpy as np
+from runlens.llm import neighbours
+rng = np.random.default_rng(8)
+x, q = rng.standard_normal((8192, 64)), rng.standard_normal((512, 64))
+turn = neighbours.rotation(64)
+code = neighbours.encode(x, np.zeros(64), turn)
+level = np.sort(q @ x.T, axis=1)[:, -20]
+def best(f):
+    took = []
+    for _ in range(9):
+        began = time.perf_counter()
+        f()
+        took.append(time.perf_counter() - began)
+    return min(took)
+def exact():
+    s = q @ x.T
+    return np.take_along_axis(s, np.argpartition(-s, 20, axis=1)[:, :20], axis=1)
+print(best(lambda: neighbours.candidates(neighbours.Queries(q, turn), *code, np.zeros(512), level, 41, neighbours.EPSILON)), best(exact))
+"""
+
+
+def test_estimates_cost_no_more_than_the_product():
+    """On one thread, 512 queries by 8,192 vectors: some 15 % less than the product and the choice of 20; with room for a busy machine."""
+    one = os.environ | {"OPENBLAS_NUM_THREADS": "1", "OMP_NUM_THREADS": "1"}
+    found = subprocess.run([sys.executable, "-c", SPEED], env=one, capture_output=True, text=True, timeout=120, check=True)
+    coded, exact = map(float, found.stdout.split())
+    assert coded < 1.5 * exact
+
+
+def clustered(rng, n, dim=64):
+    """Clusters of many sizes, some tight, and single vectors."""
+    centres = rng.standard_normal((n // 60, dim))
+    x = centres[rng.integers(0, len(centres), n)] + rng.standard_normal((n, dim)) * rng.choice([0.05, 0.2, 0.5], n)[:, None]
+    x[: n // 4] = rng.standard_normal((n // 4, dim))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def test_cells_keep_recall_and_save_work(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    n = 12_000
+    x = clustered(rng, n)
+    x[3000:5000] = x[2999]  # a vector that a sixth of the rows share
+    ids = np.arange(n)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>").repartition(4)
+    got, want = run(df, k=20, cell_rows=250), brute(ids, x, 20)
+    hits = sum(len({v for _, v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert hits / (20 * len(want)) >= 0.95
+    for q in range(3000, 5000, 20):  # ties among the copies go to the smallest ids
+        assert [v for _, v, _ in got[q]] == [v for v in range(2999, 3021) if v != q][:20]
+    centroids = neighbours.fit_cells(x, n // 250)
+    cell = neighbours.nearest_cell(x, centroids)
+    counts = np.bincount(cell, minlength=len(centroids))
+    radius = np.array([np.linalg.norm(x[cell == c] - centroids[c], axis=1).max(initial=0) for c in range(len(centroids))])
+    mine = x[n // 4 :: 20]
+    level = np.sort(mine @ x.T, axis=1)[:, -21]
+    reach = mine @ centroids.T + radius * min(1, neighbours.TAIL / 8)
+    assert ((reach >= level[:, None]) * counts).sum() < 0.6 * len(mine) * n
 
 
 def test_edges(spark):
