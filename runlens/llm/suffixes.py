@@ -10,15 +10,21 @@ the suffixes whose first bytes occur in one document only; they can be in no mat
 
 1. The texts are packed into segments, rows of some megabytes, in a table of the shared folder: a segment is the unit
    of all later work and is always the same bytes, whoever recomputes it.
-2. Each segment sends the hashes of its anchors, sorted, to buckets by hash; a bucket answers which occur in several documents.
-3. Each segment sorts the suffixes at those anchors, drops repeats (keeping the least document id) and sends each bucket
-   a front-coded run: for each suffix the length of the prefix it shares with the one before, and the rest.
-4. A bucket merges its runs with a loser tree that keeps, for every run's head, the length of the prefix it shares with the last
+2. Each segment sends the hashes of its anchors, sorted, to buckets by hash; a bucket answers which occur in several documents, and a
+   sample of the anchors themselves gives the splitters, strings of ``ANCHOR`` bytes that cut the sorted order into ranges.
+3. Each segment sorts the suffixes at those anchors, drops repeats (keeping the least document id), cuts the run at the splitters and sends each
+   range a front-coded run: for each suffix the length of the prefix it shares with the one before, and the rest.
+4. A range merges its runs with a loser tree that keeps, for every run's head, the length of the prefix it shares with the last
    winner; heads are compared by those lengths, and by bytes only beyond them.  The merged order comes with its own common
-   prefix lengths, so suffixes with one anchor stand together without further comparison.  For each of their windows the bucket finds the least
-   document id over all suffixes with the same bytes around the anchor, and answers each run.
+   prefix lengths, and these alone tell which windows are equal: a window that starts i bytes before its anchor reaches ``LENGTH`` - i bytes
+   beyond it, so two are equal where the prefix lengths between their suffixes never fall below that, and those between the bytes before
+   the anchors (sorted backwards from it, as suffixes in front of sampled ones are) never below i.  Each class of equal
+   windows gets its least document id, in array operations over the whole range: no class is gathered by itself.
 5. Each segment marks the windows whose least id is smaller than their document's, and cuts the texts.
 
+An anchor with very many occurrences (``HOT``) isn't left to one range: its windows are parted into those that reach far beyond it and those that start
+far before it, and each half is dealt by more bytes, the ones that all its windows have in common.
+
 Runs are free of repeats before they travel, so a passage that thousands of documents share is one suffix per segment.
 Answers go to segments, not to documents; nothing is gathered in one place.
 """
@@ -26,16 +32,18 @@ Answers go to segments, not to documents; nothing is gathered in one place.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialise
+from ._store import discard, materialise, plain
 
 LENGTH = 50
 ANCHOR = 24
@@ -43,6 +51,10 @@ ANCHOR = 24
 SEGMENT_BYTES = 6 << 20
 #: Bytes of text for each bucket of an exchange.
 BUCKET_BYTES = 12 << 20
+#: Ranges of the sorted order at most (their splitters are broadcast, ``ANCHOR`` bytes each), and anchors in a sample for each range.
+MOST_RANGES, RANGE_SAMPLE = 1 << 18, 64
+#: Occurrences of an anchor in a segment from which they are reported, and in all from which its windows are parted.
+HEAVY, HOT = 16, 8192
 NO_ID = np.iinfo(np.int64).max
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _MIXERS = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
@@ -60,11 +72,12 @@ def _unpack(data: bytes) -> bytes:
 
 
 def segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(segment, ids, ends, text): packed rows of documents, in the shared folder.  A null id is stored as the largest."""
-    rows = docs.select(F.spark_partition_id().alias("p"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """(segment, ids, nulls, ends, text): packed rows of documents, in the shared folder.  A null id stands as the largest, with a flag."""
+    docs, i, t = plain(docs, id_col, text_col)
+    rows = docs.select(F.spark_partition_id().alias("p"), F.col(i).cast("long").alias("doc_id"), F.col(t).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[int] = []
+        ids: list[int | None] = []
         texts: list[bytes] = []
         held, k, p = 0, 0, 0
 
@@ -72,16 +85,17 @@ def segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
             cols = [
                 pa.array([p << 33 | k], pa.int64()),
-                pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
+                pa.array([np.array([NO_ID if i is None else i for i in ids], np.int64).tobytes()], pa.binary()),
+                pa.array([np.packbits([i is None for i in ids]).tobytes()], pa.binary()),
                 pa.array([ends.tobytes()], pa.binary()),
                 pa.array([_pack(b"".join(texts))], pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(cols, names=["segment", "ids", "ends", "text"])
+            return pa.RecordBatch.from_arrays(cols, names=["segment", "ids", "nulls", "ends", "text"])
 
         for batch in batches:
             for part, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), strict=True):
                 p = part
-                ids.append(NO_ID if doc is None else doc)
+                ids.append(doc)
                 texts.append(text or b"")
                 held += len(texts[-1])
                 if held >= SEGMENT_BYTES:
@@ -90,7 +104,7 @@ def segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         if ids:
             yield out()
 
-    packed = rows.mapInArrow(run, "segment long, ids binary, ends binary, text binary")
+    packed = rows.mapInArrow(run, "segment long, ids binary, nulls binary, ends binary, text binary")
     return materialise(packed, "segments", compression="uncompressed", **{"parquet.block.size": str(16 << 20)})
 
 
@@ -174,61 +188,125 @@ class _Hashes:
     """A segment's distinct anchor hashes, by bucket and in order, and the way back to its anchors."""
 
     def __init__(self, seg: Segment, buckets: int) -> None:
+        self.seg = seg
         self.order = np.argsort(seg.hash, kind="stable")
         h = seg.hash[self.order]
         new = np.ones(len(h), bool)
         new[1:] = h[1:] != h[:-1]
         at = np.flatnonzero(new)
         self.counts = np.diff(np.append(at, len(h)))
-        self.hash = h[at]
+        self.hash, self.place = h[at], seg.at[self.order[at]]
         d = seg.ids[seg.doc[self.order]]
         self.several = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at) if len(at) else np.zeros(0, bool)
         where = _bucket(self.hash, buckets).astype(np.uint16 if buckets < 1 << 16 else np.int64)
         self.by_bucket = np.argsort(where, kind="stable")
         self.cuts = np.searchsorted(where[self.by_bucket], np.arange(buckets + 1))
 
-    def runs(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(bucket, hashes, whether each is in several of the segment's documents)."""
+    def runs(self, every: int) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
+        """(bucket, hashes, whether each is in several of the segment's documents, frequent ones, sampled ones).
+
+        Of a hash that occurs ``HEAVY`` times or more its place in the run and its count are told; of one in ``every`` its place and its bytes.
+        """
+        data, k = self.seg.data, self.seg.anchor
         for b in range(len(self.cuts) - 1):
             own = self.by_bucket[self.cuts[b] : self.cuts[b + 1]]
             if len(own):
-                yield b, self.hash[own], self.several[own]
-
-    def wanted(self, answers: dict[int, bytes]) -> np.ndarray:
-        """Which anchors of the segment occur in several documents of the table."""
-        shared = np.zeros(len(self.hash), bool)
+                h = self.hash[own]
+                heavy = np.flatnonzero(self.counts[own] >= HEAVY)
+                some = np.flatnonzero((h * _M2 >> np.uint64(24)) % np.uint64(every) == 0)
+                keys = b"".join(data[p : p + k] for p in self.place[own[some]].tolist())
+                told = np.stack([heavy, self.counts[own[heavy]]]).astype("<u4").tobytes()
+                yield b, _pack(h.tobytes()), np.packbits(self.several[own]).tobytes(), told, some.astype("<u4").tobytes() + keys
+
+    def wanted(self, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Which anchors of the segment occur in several documents of the table, and which of them very often."""
+        found = np.zeros((2, len(self.hash)), bool)
         for b in range(len(self.cuts) - 1):
             own = self.by_bucket[self.cuts[b] : self.cuts[b + 1]]
             if len(own):
-                shared[own] = np.unpackbits(np.frombuffer(answers[b], np.uint8))[: len(own)].astype(bool)
-        out = np.zeros(len(self.order), bool)
-        out[self.order] = np.repeat(shared, self.counts)
-        return out
+                bits = np.unpackbits(np.frombuffer(answers[b], np.uint8))
+                found[0, own] = bits[: len(own)]
+                if len(bits) > -(-len(own) // 8) * 8:
+                    found[1, own] = bits[-(-len(own) // 8) * 8 :][: len(own)]
+        out = np.zeros((2, len(self.order)), bool)
+        out[:, self.order] = np.repeat(found, self.counts, axis=1)
+        return out[0], out[1]
 
 
-def _answer_hashes(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Which hashes of a bucket are in several documents, as a bit for each hash of each run."""
+def _answer_hashes(pdf: pd.DataFrame, anchor: int) -> pd.DataFrame:
+    """A bit for each hash of each run: is it in several documents; where any is frequent, as many bits again for that.
+
+    One more row, of no segment, has the sampled anchors that are in several documents and not frequent, once for each run that has them.
+    """
     runs = [np.frombuffer(_unpack(x), "<u8") for x in pdf["hashes"]]
     flags = [np.unpackbits(np.frombuffer(x, np.uint8))[: len(r)].astype(bool) for x, r in zip(pdf["several"], runs, strict=True)]
     every = np.sort(np.concatenate(runs))
     shared = np.union1d(every[1:][every[1:] == every[:-1]], np.concatenate([r[f] for r, f in zip(runs, flags, strict=True)]))
-    own = [np.packbits(np.isin(r, shared, assume_unique=True)).tobytes() for r in runs]
-    return pd.DataFrame({"segment": pdf["segment"], "bucket": pdf["bucket"], "bits": own})
+    told = [np.frombuffer(x, "<u4").reshape(2, -1) for x in pdf["heavy"]]
+    often, of = np.unique(np.concatenate([r[t[0]] for r, t in zip(runs, told, strict=True)]), return_inverse=True)
+    hot = often[np.bincount(of, weights=np.concatenate([t[1] for t in told]), minlength=len(often)) >= HOT]
+    own, sample = [], []
+    for r, blob in zip(runs, pdf["sample"], strict=True):
+        bits = np.packbits(np.isin(r, shared, assume_unique=True)).tobytes()
+        frequent = np.isin(r, hot, assume_unique=True)
+        own.append(bits + np.packbits(frequent).tobytes() if frequent.any() else bits)
+        n = len(blob) // (4 + anchor)
+        h = r[np.frombuffer(blob, "<u4", n)]
+        sample += [blob[4 * n + anchor * k :][:anchor] for k in np.flatnonzero(np.isin(h, shared) & ~np.isin(h, hot)).tolist()]
+    out = pd.DataFrame({"segment": pdf["segment"], "bucket": pdf["bucket"], "bits": own})
+    return pd.concat([out, pd.DataFrame({"segment": [-1], "bucket": out["bucket"].iloc[:1].to_numpy(), "bits": [b"".join(sample)]})])
+
+
+def choose_splitters(sample: bytes, anchor: int, ranges: int) -> bytes:
+    """Strings of ``anchor`` bytes, in order, that cut the sampled ones into at most ``ranges`` like parts."""
+    keys = np.sort(np.frombuffer(sample, f"S{anchor}"))
+    at = np.unique(np.arange(1, ranges) * len(keys) // ranges)
+    return np.unique(keys[at[at > 0]]).tobytes() if len(keys) else b""
 
 
 # -- the second exchange: front-coded runs of suffixes --------------------------------------------------------------------
 
 
-def suffix_runs(seg: Segment, wanted: np.ndarray, buckets: int) -> tuple[dict[int, tuple[list[tuple[bytes, int, int]], list[int]]], bytes]:
+def _deal(seg: Segment, rows: np.ndarray, hot: np.ndarray, splitters: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
+    """(first window, anchor, last window, document, bucket) of the suffixes at some anchors, in order of their first windows.
+
+    Equal windows always come to one bucket.  A suffix goes to the range of its anchor's bytes.  That at a frequent anchor is parted in two: windows that start
+    at most ``half`` bytes before the anchor all reach length - half bytes beyond it, the others all start half + 1 bytes before it, and
+    each part goes by a hash of what its windows have in common.
+    """
+    data, k, length = seg.data, seg.anchor, seg.length
+    half = (length - k) // 2
+    first, at, last, doc, hot = seg.first[rows], seg.at[rows], seg.last[rows], seg.doc[rows], hot[rows]
+    raw = np.frombuffer(data, np.uint8)
+    keys = np.lib.stride_tricks.sliding_window_view(raw, k)[at[~hot]] if (~hot).any() else np.zeros((0, k), np.uint8)
+    where = np.zeros(len(rows), np.int64)
+    where[~hot] = np.searchsorted(splitters, np.ascontiguousarray(keys).view(f"S{k}").ravel(), side="right")
+    if not hot.any():
+        return first, at, last, doc, where
+    parts = [(first[~hot], at[~hot], last[~hot], doc[~hot], where[~hot])]
+    f, a, z, d = first[hot], at[hot], last[hot], doc[hot]
+    near = z >= a - half  # has windows that start at most ``half`` before the anchor
+    by = [xxhash.xxh64_intdigest(data[x : x + length - half]) % buckets for x in a[near].tolist()]
+    parts.append((np.maximum(f[near], a[near] - half), a[near], z[near], d[near], np.array(by, np.int64)))
+    far = f < a - half
+    by = [xxhash.xxh64_intdigest(data[x - half - 1 : x + k], 1) % buckets for x in a[far].tolist()]
+    parts.append((f[far], a[far], np.minimum(z[far], a[far] - half - 1), d[far], np.array(by, np.int64)))
+    joined = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    order = np.argsort(joined[0], kind="stable")
+    return tuple(x[order] for x in joined)
+
+
+def suffix_runs(
+    seg: Segment, wanted: np.ndarray, hot: np.ndarray, splitters: np.ndarray, buckets: int
+) -> tuple[dict[int, tuple[list[tuple[bytes, int, int]], list[int]]], bytes]:
     """For each bucket the distinct suffixes in order and the least document id of each; and notes for step 5.
 
-    A suffix is (key, right, left): right bytes from the anchor on, then the left bytes before it.  Notes tell, for each wanted
-    anchor, its first window, how many windows it has, its bucket and its suffix's number there.
+    A suffix is (key, right, left): right bytes from the anchor on, then the left bytes before it.  Notes tell, for each
+    suffix, its first window, how many windows it has, its bucket and its number there.
     """
     data = seg.data
-    rows = np.flatnonzero(wanted)
-    first, at, stop = seg.first[rows], seg.at[rows], seg.last[rows] + seg.length
-    where = _bucket(seg.hash[rows], buckets).astype(np.int64)
+    first, at, last, doc, where = _deal(seg, np.flatnonzero(wanted), hot, splitters, buckets)
+    stop = last + seg.length
     found: dict[tuple[int, bytes, int, int], int] = {}
     number = found.setdefault
     of = [
@@ -237,7 +315,7 @@ def suffix_runs(seg: Segment, wanted: np.ndarray, buckets: int) -> tuple[dict[in
     ]
     of = np.array(of, np.int64)
     least = np.full(len(found), NO_ID, np.int64)
-    np.minimum.at(least, of, seg.ids[seg.doc[rows]])
+    np.minimum.at(least, of, seg.ids[doc])
     keys = list(found)
     order = sorted(range(len(keys)), key=keys.__getitem__)
     rank = np.empty(len(keys), np.int64)
@@ -255,7 +333,7 @@ def suffix_runs(seg: Segment, wanted: np.ndarray, buckets: int) -> tuple[dict[in
     for b, i in base.items():
         starts[b] = i
     steps = np.diff(first, prepend=0).astype("<u4").tobytes()
-    windows = (seg.last[rows] - first + 1).astype(np.uint8).tobytes()
+    windows = (last - first + 1).astype(np.uint8).tobytes()
     notes = steps + windows + where.astype("<u4").tobytes() + (rank[of] - starts[where]).astype("<u4").tobytes()
     return runs, _pack(notes)
 
@@ -362,65 +440,67 @@ class LoserTree:
                 node >>= 1
 
 
-def least_ids(group: list[tuple[bytes, int, int, int]], length: int) -> list[int | list[int]]:
-    """For each suffix (key, right, left, id) with one anchor: the least id of its windows' bytes, as one number or one for each window.
+def least_ids(shared: np.ndarray, right: np.ndarray, before: np.ndarray, left: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
+    """The least id of each window of suffixes in sorted order; the column i is for windows that start i bytes before the anchor.
 
-    The windows of a suffix start left, left - 1, ... bytes before the anchor, as long as right bytes after it are enough.
+    ``shared`` is the prefix length that each suffix shares with the one before it, ``before`` the bytes in front of the anchors, nearest first, filled up with
+    zeros.  Windows are equal where the shared lengths show it, to the right and to the left; cells without a window mean nothing.
     """
-    if len(group) == 1:
-        return [group[0][3]]
-    distinct: dict[tuple[bytes, int, int], int] = {}
-    for key, right, left, doc in group:
-        if distinct.setdefault((key, right, left), doc) > doc:
-            distinct[key, right, left] = doc
-    if len(distinct) == 1:
-        return [next(iter(distinct.values()))] * len(group)
-    windows: dict[tuple[int, bytes], int] = {}
-    own = {}
-    for (key, right, left), doc in distinct.items():
-        text, n = key[right:] + key[:right], right + left - length + 1
-        own[key, right, left] = spans = [(left - i, text[i : i + length]) for i in range(n)]
-        for w in spans:
-            if windows.setdefault(w, doc) > doc:
-                windows[w] = doc
-    answers: dict = {}
-    for key, spans in own.items():
-        found = [windows[w] for w in spans]
-        answers[key] = found if min(found) != max(found) else found[0]
-    return [answers[key, right, left] for key, right, left, _ in group]
+    n, span = before.shape
+    words = np.ascontiguousarray(np.pad(before, ((0, 0), (0, -span % 8)))).view(">u8")
+    back = np.lexsort(words[:, ::-1].T) if span else np.arange(n)
+    ordered = before[back]
+    differ = ordered[1:] != ordered[:-1]
+    behind = np.zeros(n, np.int64)  # the length that each shares with the one before it in the order of the bytes in front
+    behind[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), span) if span else 0
+    out = np.full((n, span + 1), NO_ID)
+    place = np.empty(n, np.int64)
+    for i in range(span + 1):
+        rows = np.flatnonzero((left >= i) & (right >= length - i))
+        if not len(rows):
+            continue
+        ahead = np.cumsum(shared < length - i)[rows]
+        place[back] = np.cumsum(behind < i)
+        group = ahead * (n + 1) + place[rows]
+        order = np.argsort(group, kind="stable")
+        group = group[order]
+        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        low = np.minimum.reduceat(ids[rows[order]], starts)
+        out[rows[order], i] = np.repeat(low, np.diff(np.append(starts, len(rows))))
+    return out
 
 
 def _answer_runs(pdf: pd.DataFrame, length: int, anchor: int) -> pd.DataFrame:
     """Merge a bucket's runs; for each suffix of each run, in order, the least ids of its windows.  Notes pass as they are."""
     notes = pdf[pdf["bucket"] < 0]
     pdf = pdf[pdf["bucket"] >= 0]
-    counts: list[bytearray] = [bytearray() for _ in range(len(pdf))]
-    ids: list[list[int]] = [[] for _ in range(len(pdf))]
-    group: list = []
-
-    def close() -> None:
-        for (run, *_), least in zip(group, least_ids([g[1:] for g in group], length), strict=True):
-            if isinstance(least, list):
-                counts[run].append(len(least))
-                ids[run].extend(least)
-            else:
-                counts[run].append(1)
-                ids[run].append(least)
-        group.clear()
-
-    for run, shared, (_, key, right, left, doc) in LoserTree([decode_run(x) for x in pdf["run"]]):
-        if shared < anchor and group:
-            if len(group) == 1:  # by far the most frequent case
-                run_, _, _, _, doc_ = group[0]
-                counts[run_].append(1)
-                ids[run_].append(doc_)
-                group.clear()
-            else:
-                close()
-        group.append((run, key, right, left, doc))
-    if group:
-        close()
-    own = [_pack(len(c).to_bytes(4, "little") + bytes(c) + np.array(i, "<i8").tobytes()) for c, i in zip(counts, ids, strict=True)]
+    span = length - anchor
+    runs, shared, right, left, ids, before = array("q"), bytearray(), bytearray(), bytearray(), array("q"), bytearray()
+    for run, common, (_, key, r, le, doc) in LoserTree([decode_run(x) for x in pdf["run"]]):
+        runs.append(run)
+        shared.append(common)
+        right.append(r)
+        left.append(le)
+        ids.append(doc)
+        before += key[: r - 1 : -1].ljust(span, b"\0")
+    n = len(runs)
+    right, left = (np.frombuffer(x, np.uint8).astype(np.int16) for x in (right, left))
+    run = np.frombuffer(runs, np.int64) if n else np.zeros(0, np.int64)
+    least = least_ids(np.frombuffer(shared, np.uint8), right, np.frombuffer(before, np.uint8).reshape(n, span), left, np.frombuffer(ids, np.int64) if n else np.zeros(0, np.int64), length)
+    least = least[:, ::-1]  # windows in the order of the text
+    column = span - np.arange(span + 1, dtype=np.int16)
+    there = (column <= left[:, None]) & (column >= length - right[:, None])
+    low = np.where(there, least, np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
+    one = low == np.where(there, least, np.iinfo(np.int64).min).max(axis=1, initial=np.iinfo(np.int64).min)
+    counts = np.where(one, 1, there.sum(axis=1)).astype(np.uint8)
+    there[one] = False
+    there[np.flatnonzero(one), span - left[one]] = True  # one number is enough
+    order = np.argsort(run, kind="stable")
+    cuts = np.searchsorted(run[order], np.arange(len(pdf) + 1))
+    own = []
+    for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        rows = order[a:z]
+        own.append(_pack((z - a).to_bytes(4, "little") + counts[rows].tobytes() + least[rows][there[rows]].astype("<i8").tobytes()))
     out = pd.DataFrame({"segment": pdf["segment"], "bucket": pdf["bucket"], "least": own})
     return pd.concat([out, notes[["segment", "bucket", "run"]].rename(columns={"run": "least"})])
 
@@ -463,10 +543,10 @@ def _covered(ids: np.ndarray, ends: np.ndarray, length: int, notes: bytes, answe
     return np.cumsum(edge[:-1]) > 0
 
 
-def _cut(ids: np.ndarray, ends: np.ndarray, data: bytes, covered: np.ndarray, texts: bool) -> pd.DataFrame:
+def _cut(ids: np.ndarray, nulls: np.ndarray, ends: np.ndarray, data: bytes, covered: np.ndarray, texts: bool) -> pd.DataFrame:
     out = []
     raw = np.frombuffer(data, np.uint8)
-    for doc, lo, hi in zip(ids.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+    for doc, null, lo, hi in zip(ids.tolist(), nulls.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
         gone = covered[lo:hi]
         n = int(gone.sum())
         if n:
@@ -476,7 +556,7 @@ def _cut(ids: np.ndarray, ends: np.ndarray, data: bytes, covered: np.ndarray, te
         else:
             starts = stops = np.zeros(0, np.int64)
             kept = data[lo:hi]
-        row = (None if doc == NO_ID else doc, hi - lo, n, len(starts), hashlib.sha256(kept).hexdigest(), starts.astype(np.int64), stops.astype(np.int64))
+        row = (None if null else doc, hi - lo, n, len(starts), hashlib.sha256(kept).hexdigest(), starts.astype(np.int64), stops.astype(np.int64))
         out.append((*row, kept) if texts else row)
     return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "starts", "stops", *["kept"] * texts])
 
@@ -488,14 +568,15 @@ def remove_repeats(
 
     Texts are their UTF-8 bytes; null and empty texts have none.  starts and stops bound the maximal removed runs of bytes; kept
     (if ``texts``) holds the other bytes, concatenated.  Strings are judged on the input and never cross documents.  Rows with equal ids,
-    repeated rows among them, are never each other's smaller document; a null id is larger than all others.  Texts
+    repeated rows among them, are never each other's smaller document; a null id counts as the largest there can be.  Texts
     under ``length`` bytes lose nothing.  Other columns are ignored.  An empty table gives an empty one.
     """
     if not 16 <= anchor <= length <= 127:
         raise ValueError("16 <= anchor <= length <= 127 must hold")
     table = segments(docs, id_col, text_col)
     total = table.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(64, -(-2 * total // BUCKET_BYTES))  # packed bytes are about half
+    buckets = min(MOST_RANGES, max(64, -(-2 * total // BUCKET_BYTES)))  # packed bytes are about half
+    every = max(1, 2 * total // (buckets * RANGE_SAMPLE * 14))  # one anchor in some 14 bytes
 
     def each(pdfs: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in pdfs:
@@ -504,25 +585,35 @@ def remove_repeats(
     def send_hashes(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for r in each(pdfs):
             seg = Segment(r.ids, r.ends, r.text, length, anchor)
-            own = [(r.segment, b, _pack(h.tobytes()), np.packbits(f).tobytes()) for b, h, f in _Hashes(seg, buckets).runs()]
-            yield pd.DataFrame(own, columns=["segment", "bucket", "hashes", "several"])
+            yield pd.DataFrame([(r.segment, *x) for x in _Hashes(seg, buckets).runs(every)], columns=["segment", "bucket", "hashes", "several", "heavy", "sample"])
+
+    sent = table.mapInPandas(send_hashes, "segment long, bucket int, hashes binary, several binary, heavy binary, sample binary")
+    bits = sent.groupBy("bucket").applyInPandas(lambda pdf: _answer_hashes(pdf, anchor), "segment long, bucket int, bits binary")
+    bits = materialise(bits, "answers")
+
+    def split(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"splitters": [choose_splitters(b"".join(pdf["bits"]), anchor, buckets)]})
 
-    sent = table.mapInPandas(send_hashes, "segment long, bucket int, hashes binary, several binary")
-    bits = sent.groupBy("bucket").applyInPandas(_answer_hashes, "segment long, bucket int, bits binary")
+    # The sample has some RANGE_SAMPLE strings for each of MOST_RANGES ranges at most, whatever the table's size.
+    found = bits.where("segment = -1").groupBy().applyInPandas(split, "splitters binary").first()
+    shared = table.sparkSession.sparkContext.broadcast(bytes(found["splitters"]) if found else b"")
 
     def send_runs(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        splitters = np.frombuffer(shared.value, f"S{anchor}")
         for r in each(pdfs):
             seg = Segment(r.ids, r.ends, r.text, length, anchor)
-            wanted = _Hashes(seg, buckets).wanted(dict(zip(r.buckets, r.answers, strict=True)))
-            runs, notes = suffix_runs(seg, wanted, buckets)
+            wanted, hot = _Hashes(seg, buckets).wanted(dict(zip(r.buckets, r.answers, strict=True)))
+            runs, notes = suffix_runs(seg, wanted, hot, splitters, buckets)
             out = [(r.segment, b, b, front_code(k, i)) for b, (k, i) in runs.items()]
             # Notes travel with the runs, to any bucket, and come back with the answers.
             out.append((r.segment, r.segment % 1_000_003 % buckets, -1, notes))
             yield pd.DataFrame(out, columns=["segment", "goes", "bucket", "run"])
 
-    known = _with_answers(table, bits, "bits")
+    known = _with_answers(table, bits.where("segment >= 0"), "bits")
     runs = known.mapInPandas(send_runs, "segment long, goes int, bucket int, run binary")
     merged = runs.groupBy("goes").applyInPandas(lambda pdf: _answer_runs(pdf, length, anchor), "segment long, bucket int, least binary")
+    merged = materialise(merged, "answers")
+    discard(bits)
     both = _with_answers(table, merged, "least")
 
     def cut(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -530,7 +621,7 @@ def remove_repeats(
             answers = dict(zip(r.buckets, r.answers, strict=True))
             ids, ends = np.frombuffer(r.ids, np.int64), np.frombuffer(r.ends, np.int64)
             covered = _covered(ids, ends, length, answers.pop(-1), answers)
-            yield _cut(ids, ends, _unpack(r.text), covered, texts)
+            yield _cut(ids, np.unpackbits(np.frombuffer(r.nulls, np.uint8))[: len(ids)], ends, _unpack(r.text), covered, texts)
 
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, stops array<long>"
     return both.mapInPandas(cut, out + ", kept binary" * texts)
@@ -538,7 +629,7 @@ def remove_repeats(
 
 def _with_answers(table: DataFrame, answers: DataFrame, col: str) -> DataFrame:
     """Each segment's row with the answers that it got, as two arrays (empty if none)."""
-    own = materialise(answers, "answers").groupBy("segment").agg(F.collect_list(F.struct("bucket", col)).alias("all"))
+    own = answers.groupBy("segment").agg(F.collect_list(F.struct("bucket", col)).alias("all"))
     own = own.select("segment", F.col("all.bucket").alias("buckets"), F.col(f"all.{col}").alias("answers"))
     joined = table.join(own, "segment", "left")
     empty = {"buckets": F.array().cast("array<int>"), "answers": F.array().cast("array<binary>")}

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -36,12 +37,18 @@ def in_process(rows, length, anchor, per_segment, buckets):
         ends = np.cumsum([len(t) for _, t in own], dtype=np.int64)
         segs[k] = suffixes.Segment(np.array([d for d, _ in own], np.int64).tobytes(), ends.tobytes(), suffixes._pack(b"".join(t for _, t in own)), length, anchor)
         hashes[k] = suffixes._Hashes(segs[k], buckets)
-    sent = [(k, b, suffixes._pack(h.tobytes()), np.packbits(f).tobytes()) for k, x in hashes.items() for b, h, f in x.runs()]
-    bits = {}
-    for _, g in pd.DataFrame(sent, columns=["segment", "bucket", "hashes", "several"]).groupby("bucket"):
-        bits |= {(r.segment, r.bucket): r.bits for r in suffixes._answer_hashes(g).itertuples()}
+    sent = [(k, *r) for k, x in hashes.items() for r in x.runs(2)]
+    bits, sample = {}, b""
+    for _, g in pd.DataFrame(sent, columns=["segment", "bucket", "hashes", "several", "heavy", "sample"]).groupby("bucket"):
+        for r in suffixes._answer_hashes(g, anchor).itertuples():
+            if r.segment < 0:
+                sample += r.bits
+            else:
+                bits[r.segment, r.bucket] = r.bits
     wanted = {k: x.wanted({b: v for (y, b), v in bits.items() if y == k}) for k, x in hashes.items()}
-    runs = {k: suffixes.suffix_runs(s, wanted[k], buckets) for k, s in segs.items()}
+    splitters = np.frombuffer(suffixes.choose_splitters(sample, anchor, buckets), f"S{anchor}")
+    assert len(splitters) < buckets
+    runs = {k: suffixes.suffix_runs(s, *wanted[k], splitters, buckets) for k, s in segs.items()}
     blobs = [(k, b, b, suffixes.front_code(*r)) for k, (own, _) in runs.items() for b, r in own.items()]
     blobs += [(k, k % buckets, -1, notes) for k, (_, notes) in runs.items()]
     least = {}
@@ -51,7 +58,7 @@ def in_process(rows, length, anchor, per_segment, buckets):
     for k, s in segs.items():
         answers = {b: v for (x, b), v in least.items() if x == k}
         covered = suffixes._covered(s.ids, s.ends, length, answers.pop(-1), answers)
-        cut = suffixes._cut(s.ids, s.ends, s.data, covered, True)
+        cut = suffixes._cut(s.ids, np.zeros(len(s.ids), bool), s.ends, s.data, covered, True)
         out += [tuple(r[:5]) + (r[7],) for r in cut.itertuples(index=False)]
     return out
 
@@ -66,8 +73,11 @@ def random_rows(rng, alphabet, n, most):
     return rows
 
 
-@pytest.mark.parametrize("seed", range(40))
-def test_steps_against_brute_force(seed):
+@pytest.mark.parametrize("seed", range(60))
+def test_steps_against_brute_force(seed, monkeypatch):
+    if seed % 4 == 1:  # all anchors that occur twice or more count as frequent
+        monkeypatch.setattr(suffixes, "HEAVY", 1)
+        monkeypatch.setattr(suffixes, "HOT", 2)
     rng = random.Random(seed)
     alphabet = ["a", "ab", "abc ", "abcdefghij \n", "éaß"][seed % 5]
     rows = random_rows(rng, alphabet, rng.randrange(1, 25), 9)
@@ -112,10 +122,41 @@ def test_remove_repeats(docs_of, rng):
     assert by_id[103][2] == 0 and by_id[104][2:4] == (120, 1) and by_id[201][2:4] == (len(passage), 1)
 
 
+def test_one_anchor_in_very_many_contexts():
+    """A line that all documents share, in different words each time: memory stays bounded and the work is dealt out."""
+    line = b"(c) all rights reserved by someone" + b"."
+    rng, n = random.Random(3), 30_000
+    rows = [(i, bytes(rng.choices(b"abcdefgh ", k=40)) + line + bytes(rng.choices(b"abcdefgh ", k=40))) for i in range(n)]
+    rows += [(n + 1, rows[7][1]), (n + 2, b"x" * 30 + rows[9][1][20:])]
+    tracemalloc.start()
+    got = in_process(rows, 50, 24, 5000, 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {r[0]: r[2] for r in got if r[2]} == {n + 1: len(rows[7][1]), n + 2: len(rows[9][1]) - 20}
+    sample = sorted(rng.sample(rows[:n], 300) + rows[n:] + [rows[7], rows[9]])
+    sample = [r for k, r in enumerate(sample) if r not in sample[:k]]
+    assert [r for r in in_process(sample, 50, 24, 50, 4)] == slow(sample, 50)
+    assert peak < 400 << 20
+    segs = suffixes.Segment(np.arange(5000).tobytes(), np.cumsum([len(t) for _, t in rows[:5000]], dtype=np.int64).tobytes(), suffixes._pack(b"".join(t for _, t in rows[:5000])), 50, 24)
+    hot = np.ones(len(segs.at), bool)
+    *_, where = suffixes._deal(segs, np.arange(len(segs.at)), hot, np.zeros(0, "S24"), 8)
+    assert np.bincount(where, minlength=8).max() < 2 * len(where) / 8
+
+
+def test_splitters():
+    keys = [f"{i:024d}".encode() for i in range(100)]
+    found = np.frombuffer(suffixes.choose_splitters(b"".join(keys), 24, 10), "S24")
+    assert found.tolist() == keys[10::10]
+    assert suffixes.choose_splitters(b"", 24, 10) == b"" and len(suffixes.choose_splitters(keys[0] * 50, 24, 10)) == 24
+
+
 def test_null_ids_and_empty(docs_of):
     passage = "z" * 30 + "0123456789" * 4
     got = suffixes.remove_repeats(docs_of([(None, passage), (None, passage), (4, passage)]), texts=False).collect()
     assert sorted((r["doc_id"] is None, r["n_removed"]) for r in got) == [(False, 0), (True, len(passage)), (True, len(passage))]
+    last = (1 << 63) - 1
+    got = suffixes.remove_repeats(docs_of([(last, passage), (None, "short"), (3, "x" + passage)]), texts=False).collect()
+    assert sorted((r["doc_id"] or 0, r["doc_id"] is None, r["n_removed"]) for r in got) == [(0, True, 0), (3, False, 0), (last, False, len(passage))]
     none = suffixes.remove_repeats(docs_of([]))
     assert none.count() == 0 and "kept" in none.columns
     r = suffixes.remove_repeats(docs_of([(1, passage + "a"), (2, "b" + passage)])).orderBy("doc_id").collect()[1]
