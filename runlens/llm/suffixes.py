@@ -198,6 +198,7 @@ class _Hashes:
         self.hash, self.place = h[at], seg.at[self.order[at]]
         d = seg.ids[seg.doc[self.order]]
         self.several = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at) if len(at) else np.zeros(0, bool)
+        self.run_of = np.repeat(np.arange(len(at)), self.counts)
         where = _bucket(self.hash, buckets).astype(np.uint16 if buckets < 1 << 16 else np.int64)
         self.by_bucket = np.argsort(where, kind="stable")
         self.cuts = np.searchsorted(where[self.by_bucket], np.arange(buckets + 1))
@@ -205,15 +206,25 @@ class _Hashes:
     def runs(self, every: int) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
         """(bucket, hashes, whether each is in several of the segment's documents, frequent ones, sampled ones).
 
-        Of a hash that occurs ``HEAVY`` times or more its place in the run and its count are told; of one in ``every`` its place and its bytes.
+        Of a hash that occurs ``HEAVY`` times or more its place in the run and its count are told.  Of the occurrences one in ``every`` is sampled,
+        chosen by a hash of the anchors around it and so alike in all copies of a text: its hash's place and its anchor's bytes are told.
         """
         data, k = self.seg.data, self.seg.anchor
+        h = self.seg.hash
+        around = (h * _MIXERS[0] + np.append(h[1:], np.uint64(0)) * _MIXERS[1] + np.append(np.uint64(0), h[:-1]) * _MIXERS[2]) if len(h) else h
+        around = (around ^ around >> np.uint64(31)) * _M2 >> np.uint64(24)
+        of = np.empty(len(h), np.int64)
+        of[self.order] = self.run_of
+        picked = np.flatnonzero(around % np.uint64(every) == 0)
+        picked = picked[np.unique(around[picked], return_index=True)[1]]
+        sampled = np.sort(of[picked])
         for b in range(len(self.cuts) - 1):
             own = self.by_bucket[self.cuts[b] : self.cuts[b + 1]]
             if len(own):
                 h = self.hash[own]
                 heavy = np.flatnonzero(self.counts[own] >= HEAVY)
-                some = np.flatnonzero((h * _M2 >> np.uint64(24)) % np.uint64(every) == 0)
+                times = np.searchsorted(sampled, own, side="right") - np.searchsorted(sampled, own)
+                some = np.repeat(np.arange(len(own)), times)
                 keys = b"".join(data[p : p + k] for p in self.place[own[some]].tolist())
                 told = np.stack([heavy, self.counts[own[heavy]]]).astype("<u4").tobytes()
                 yield b, _pack(h.tobytes()), np.packbits(self.several[own]).tobytes(), told, some.astype("<u4").tobytes() + keys
@@ -236,7 +247,7 @@ class _Hashes:
 def _answer_hashes(pdf: pd.DataFrame, anchor: int) -> pd.DataFrame:
     """A bit for each hash of each run: is it in several documents; where any is frequent, as many bits again for that.
 
-    One more row, of no segment, has the sampled anchors that are in several documents and not frequent, once for each run that has them.
+    One more row, of no segment, has the sampled anchors that are in several documents and not frequent.
     """
     runs = [np.frombuffer(_unpack(x), "<u8") for x in pdf["hashes"]]
     flags = [np.unpackbits(np.frombuffer(x, np.uint8))[: len(r)].astype(bool) for x, r in zip(pdf["several"], runs, strict=True)]
@@ -246,13 +257,18 @@ def _answer_hashes(pdf: pd.DataFrame, anchor: int) -> pd.DataFrame:
     often, of = np.unique(np.concatenate([r[t[0]] for r, t in zip(runs, told, strict=True)]), return_inverse=True)
     hot = often[np.bincount(of, weights=np.concatenate([t[1] for t in told]), minlength=len(often)) >= HOT]
     own, sample = [], []
+
+    def among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(known, h)
+        return known[np.minimum(at, len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
+
     for r, blob in zip(runs, pdf["sample"], strict=True):
-        bits = np.packbits(np.isin(r, shared, assume_unique=True)).tobytes()
-        frequent = np.isin(r, hot, assume_unique=True)
+        bits = np.packbits(among(r, shared)).tobytes()
+        frequent = among(r, hot)
         own.append(bits + np.packbits(frequent).tobytes() if frequent.any() else bits)
         n = len(blob) // (4 + anchor)
         h = r[np.frombuffer(blob, "<u4", n)]
-        sample += [blob[4 * n + anchor * k :][:anchor] for k in np.flatnonzero(np.isin(h, shared) & ~np.isin(h, hot)).tolist()]
+        sample += [blob[4 * n + anchor * k :][:anchor] for k in np.flatnonzero(among(h, shared) & ~among(h, hot)).tolist()]
     out = pd.DataFrame({"segment": pdf["segment"], "bucket": pdf["bucket"], "bits": own})
     return pd.concat([out, pd.DataFrame({"segment": [-1], "bucket": out["bucket"].iloc[:1].to_numpy(), "bits": [b"".join(sample)]})])
 
