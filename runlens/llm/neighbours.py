@@ -33,8 +33,8 @@ from ._store import discard, materialise, plain
 
 #: Vectors that the cells are fitted on at most (those with the smallest digests of their ids), and rounds of fitting.
 SAMPLE_ROWS, ROUNDS = 20_000, 6
-#: Vectors for each cell, cells at most, and bytes of centroids at most.
-CELL_ROWS, MOST_CELLS, CELL_BYTES = 1024, 4096, 16 << 20
+#: Cells for each square root of the number of vectors, cells at most, and bytes of centroids at most.
+CELL_SHARE, MOST_CELLS, CELL_BYTES = 0.25, 4096, 16 << 20
 #: Vectors in a block at most, bytes of a block's vectors at most, and queries that travel together.
 BLOCK, BLOCK_BYTES, PACK = 8192, 4 << 20, 2048
 #: Width of the error bound, and how many standard deviations from its centroid a cell is thought to reach along a query.
@@ -151,14 +151,18 @@ def candidates(q: Queries, codes: np.ndarray, norm: np.ndarray, agree: np.ndarra
     return np.concatenate(rows), np.concatenate(cols)
 
 
-def score_pairs(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, id, exact score) of each query's k best among its pairs; a query is not its own neighbour."""
+def score_pairs(
+    q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray, k: int, level: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, id, exact score) of each query's k best among its pairs that reach its level; a query is not its own neighbour."""
     others = q_ids[rows] != ids[cols]
     rows, cols = rows[others], cols[others]
     score = np.empty(len(rows))
     for i in range(0, len(rows), 1 << 14):  # row by row, so that equal vectors have equal scores wherever they stand
         own = slice(i, i + (1 << 14))
         score[own] = (x[cols[own]] * q[rows[own]]).sum(axis=1)
+    high = score >= level[rows]  # others are behind k known ones
+    rows, cols, score = rows[high], cols[high], score[high]
     order = np.lexsort((ids[cols], -score, rows))
     rows, cols, score = rows[order], cols[order], score[order]
     starts = np.searchsorted(rows, rows, side="left")
@@ -186,11 +190,11 @@ def nearest_cell(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 
 
 def first_cells(near: np.ndarray, counts: np.ndarray, wanted: int, most: int = 8) -> np.ndarray:
-    """Which cells each query looks into first: the best by its products ``near`` with the centroids, two at least, until they hold ``wanted`` rows."""
+    """Which cells each query looks into first: the best by its products ``near`` with the centroids, four at least, until they hold ``wanted`` rows."""
     most = min(most, near.shape[1])
     order = np.argsort(-near, axis=1, kind="stable")[:, :most]
     held = np.cumsum(counts[order], axis=1) - counts[order]
-    take = (held < wanted) | (np.arange(most)[None, :] < 2)
+    take = (held < wanted) | (np.arange(most)[None, :] < 4)
     out = np.zeros(near.shape, bool)
     np.put_along_axis(out, order, take, axis=1)
     return out & (counts > 0)
@@ -205,7 +209,7 @@ def nearest(
     dim: int | None = None,
     epsilon: float = EPSILON,
     tail: float = TAIL,
-    cell_rows: int = CELL_ROWS,
+    cell_share: float = CELL_SHARE,
     block: int = BLOCK,
     pack: int = PACK,
 ) -> DataFrame:
@@ -235,7 +239,7 @@ def nearest(
         return spark.createDataFrame([], out)
 
     bounded = rows.withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(min(SAMPLE_ROWS, max(1, (64 << 20) // (8 * dim)))).select("v")
-    cells = max(1, min(n // cell_rows, MOST_CELLS, SAMPLE_ROWS // 8, CELL_BYTES // (8 * dim)))
+    cells = max(1, min(round(cell_share * n**0.5), MOST_CELLS, SAMPLE_ROWS // 8, CELL_BYTES // (8 * dim)))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"c": [fit_cells(np.stack(pdf["v"].to_numpy()).astype("<f8"), cells).tobytes()]})
@@ -309,20 +313,19 @@ def nearest(
                     qids, q = np.frombuffer(r.qids, "<i8"), np.frombuffer(r.qx, dtype).reshape(-1, dim)
                     norm, agree = (np.frombuffer(x, "<f4").astype("<f8") for x in (r.norm, r.agree))
                     codes = np.frombuffer(r.codes, "<u8").reshape(len(norm), -1)
-                    level = np.frombuffer(r.levels, "<f8") if again else None
-                    level = level - 1e-9 * (1 + np.abs(level)) if again else None
-                    i, c = candidates(Queries(q.astype("<f8"), turn), codes, norm, agree, np.frombuffer(r.bases, "<f8"), level, 2 * k + 1, epsilon)
+                    level = np.frombuffer(r.levels, "<f8")
+                    i, c = candidates(Queries(q.astype("<f8"), turn), codes, norm, agree, np.frombuffer(r.bases, "<f8"), level if again else None, 2 * k + 1, epsilon)
                     own, i = np.unique(i, return_inverse=True)
                     if len(own):
-                        row = (r.cell, r.sub, qids[own].tobytes(), q[own].tobytes(), i.astype("<u4").tobytes(), c.astype("<u4").tobytes())
-                        yield pd.DataFrame([row], columns=["cell", "sub", "qids", "qx", "rows", "cols"])
+                        row = (r.cell, r.sub, qids[own].tobytes(), level[own].tobytes(), q[own].tobytes(), i.astype("<u4").tobytes(), c.astype("<u4").tobytes())
+                        yield pd.DataFrame([row], columns=["cell", "sub", "qids", "levels", "qx", "rows", "cols"])
 
         def rerank(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in pdfs:
                 for r in pdf.itertuples(index=False):
                     q, x = (np.frombuffer(b, dtype).reshape(-1, dim).astype("<f8") for b in (r.qx, r.x))
                     pairs = (np.frombuffer(b, "<u4").astype(np.int64) for b in (r.rows, r.cols))
-                    found = score_pairs(np.frombuffer(r.qids, "<i8"), q, np.frombuffer(r.ids, "<i8"), x, *pairs, k)
+                    found = score_pairs(np.frombuffer(r.qids, "<i8"), q, np.frombuffer(r.ids, "<i8"), x, *pairs, k, np.frombuffer(r.levels, "<f8"))
                     yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
 
         goes = materialise(asked.mapInPandas(probe, "cell int, id long, level double, base double, x binary"), "probes")
@@ -335,8 +338,8 @@ def nearest(
         # A pack of queries goes to each block of its cell: the keys of the join are blocks, of one size each.
         meetings = gathered.withColumn("sub", F.explode(F.sequence(F.lit(0), F.element_at(table, F.col("cell") + 1) - 1)))
         meetings = meetings.join(blocks.select("cell", "sub", "codes", "norm", "agree"), ["cell", "sub"])
-        pairs = meetings.select("cell", "sub", "qids", "levels", "bases", "qx", "codes", "norm", "agree").mapInPandas(meet, "cell int, sub int, qids binary, qx binary, rows binary, cols binary")
-        scored = pairs.join(blocks.select("cell", "sub", "ids", "x"), ["cell", "sub"]).select("qids", "qx", "rows", "cols", "ids", "x")
+        pairs = meetings.select("cell", "sub", "qids", "levels", "bases", "qx", "codes", "norm", "agree").mapInPandas(meet, "cell int, sub int, qids binary, levels binary, qx binary, rows binary, cols binary")
+        scored = pairs.join(blocks.select("cell", "sub", "ids", "x"), ["cell", "sub"]).select("qids", "levels", "qx", "rows", "cols", "ids", "x")
         found = materialise(scored.mapInPandas(rerank, "query_id long, vec_id long, score double"), "found")
         discard(goes)
         return found

@@ -36,7 +36,7 @@ def test_recall(spark, scale):
     x[50:90] = x[40]  # ties go to the smaller id
     ids = rng.permutation(n)
     df = spark.createDataFrame([(int(i), v.tolist(), 1, 2) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>, label int, block int")
-    got, want = run(df, k=20, cell_rows=100, block=64, pack=16), brute(ids, x, 20)
+    got, want = run(df, k=20, cell_share=0.3, block=64, pack=16), brute(ids, x, 20)
     assert set(got) == set(want)
     hits = sum(len({v for _, v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
     assert hits / (20 * len(want)) >= 0.95
@@ -137,7 +137,7 @@ def test_cells_keep_recall_and_save_work(spark, monkeypatch):
     x[3000:5000] = x[2999]  # a vector that a sixth of the rows share
     ids = np.arange(n)
     df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>").repartition(4)
-    got, want = run(df, k=20, cell_rows=250), brute(ids, x, 20)
+    got, want = run(df, k=20, cell_share=0.45), brute(ids, x, 20)
     hits = sum(len({v for _, v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
     assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
     assert hits / (20 * len(want)) >= 0.95
