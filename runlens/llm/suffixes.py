@@ -50,7 +50,7 @@ ANCHOR = 24
 #: Bytes of text in a segment (one document at least).
 SEGMENT_BYTES = 6 << 20
 #: Bytes of text for each bucket of an exchange.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 6 << 20
 #: Ranges of the sorted order at most (their splitters are broadcast, ``ANCHOR`` bytes each), and anchors in a sample for each range.
 MOST_RANGES, RANGE_SAMPLE = 1 << 18, 64
 #: Occurrences of an anchor in a segment from which they are reported, and in all from which its windows are parted.
