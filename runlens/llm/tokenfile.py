@@ -4,8 +4,8 @@ Every document's ids, an end id appended, are serialized as little-endian intege
 compressed on their own with a dictionary that was trained on serialized id arrays.  So a short document is read by one seek and
 one small decompression.
 
-A store is a folder in any file system that Spark writes: ``shards/shard=N/`` has one file each, ``dictionary/`` the dictionary, and
-``manifest/`` one JSON line for each shard.  A shard file, all integers little-endian::
+A store is a folder in any file system that Spark writes: ``shards/shard=N/documents=D/tokens=T/`` has one file each, ``dictionary/`` the
+dictionary, and ``manifest/`` one JSON line for each shard.  A shard file, all integers little-endian::
 
     "RLTOKID1"                                     magic
     frames                                         one zstandard frame for each document, in ascending order of ids
@@ -14,14 +14,16 @@ A store is a folder in any file system that Spark writes: ``shards/shard=N/`` ha
     n i64, width i64, dictionary i64, index i64    number of documents, bytes of an id, xxh64 of the dictionary, place of the index
     "RLTOKEND\\n"
 
-Ids come from the tokenizer's own library.  White space parts tokens, so do the borders of ASCII letters and digits with ASCII signs
-other than the apostrophe; pieces between such borders are encoded one by one, each distinct piece once per worker while a bounded cache
-holds it, and put together by index arithmetic.  A text for which a piece could depend on its surroundings (special tokens,
-combining marks) is encoded as a whole.
+Ids come from the tokenizer's own library.  With most tokenizers a text is encoded as a whole.  Where the tokenizer's file says that it lower-cases,
+drops white space and splits by the pattern ``WORDS`` (``by_pieces``), white space parts tokens, and so do the borders of ASCII letters and digits
+with ASCII signs other than the apostrophe; pieces between such borders are then encoded one by one, each distinct piece once per worker
+while a bounded cache holds it, and put together by index arithmetic.  A text for which a piece could depend on its surroundings
+(special tokens, combining marks) is encoded as a whole even so.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -43,7 +45,7 @@ MAGIC, TAIL = b"RLTOKID1", b"RLTOKEND\n"
 #: Documents that the dictionary is trained on at most, and the dictionary's size.
 DICTIONARY_ROWS, DICTIONARY_BYTES = 2000, 64 << 10
 #: Bytes of frames in a shard (one document at least), and distinct pieces that a worker's cache holds.
-SHARD_BYTES, CACHE_PIECES = 8 << 20, 250_000
+SHARD_BYTES, CACHE_PIECES = 4 << 20, 250_000
 LEVEL = 3
 _NO_ID = np.iinfo(np.int64).max
 
@@ -65,6 +67,34 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+#: How a tokenizer's file must describe its splitting for texts to be encoded by pieces.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+
+
+def by_pieces(spec: dict) -> bool:
+    """Whether a tokenizer's description warrants that pieces of a text have the ids that they have in the text."""
+    normalizer, splitter, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    steps = splitter.get("pretokenizers") or []
+    return (
+        normalizer.get("normalizers") == NORMALIZERS
+        and [x.get("type") for x in steps] == ["Split", "ByteLevel"]
+        and (steps[0].get("pattern"), steps[0].get("behavior"), steps[0].get("invert")) == ({"Regex": WORDS}, "Removed", True)
+        and not steps[1].get("use_regex")
+        and not steps[1].get("add_prefix_space")
+        and spec.get("post_processor") is None
+        and model.get("type") == "BPE"
+        and not model.get("dropout")
+        and not spec.get("truncation")
+        and not spec.get("padding")
+        and all(t["content"].startswith("<|") for t in spec.get("added_tokens") or [])
+    )
+
+
 class Encoder:
     """Encodes columns of texts with a tokenizer file, keeping the ids of pieces it has met."""
 
@@ -74,6 +104,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
+        self.by_pieces = by_pieces(json.loads(self.tokenizer.to_str()))
         self.ends_word = np.zeros(self.vocabulary, bool)
         self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self._reset()
@@ -143,7 +174,11 @@ class Encoder:
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, whole; null and empty texts have none."""
         for start, stop in slices(texts):
-            yield from self._encode(texts.slice(start, stop - start))
+            part = texts.slice(start, stop - start)
+            if self.by_pieces:
+                yield from self._encode(part)
+            else:
+                yield from (np.array(ids, np.uint32) for ids in self.whole([t or "" for t in part.to_pylist()]))
 
     def _encode(self, texts: pa.Array) -> list[np.ndarray]:
         data, off = text_buffers(texts)
@@ -295,13 +330,14 @@ def write(
 
         def out() -> pa.RecordBatch:
             content = build_shard(ids, tokens, own, width, shared.value)
-            return pa.RecordBatch.from_arrays([pa.array([part << 24 | k], pa.int64()), pa.array([content[:-1]], pa.binary())], names=["shard", "value"])
+            told = [pa.array([x], pa.int64()) for x in (part << 24 | k, len(ids), sum(tokens))]
+            return pa.RecordBatch.from_arrays([*told, pa.array([content[:-1]], pa.binary())], names=["shard", "documents", "tokens", "value"])
 
         for batch in batches:
             for i, n, width, frame, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids.append(i), tokens.append(n), own.append(frame)
                 held += len(frame)
-                if held >= 2 * shard_bytes:
+                if held >= shard_bytes + shard_bytes // 2:
                     yield out()
                     ids, tokens, own, held, k = [], [], [], 0, k + 1
         if own:
@@ -309,16 +345,17 @@ def write(
 
     order = [F.col("doc_id").asc_nulls_last(), F.col("n"), F.col("frame")]
     ranged = encoded.repartitionByRange(parts, F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order)
-    files = ranged.select("doc_id", "n", "width", "frame", F.spark_partition_id().alias("part")).mapInArrow(shards, "shard long, value binary")
+    files = ranged.select("doc_id", "n", "width", "frame", F.spark_partition_id().alias("part")).mapInArrow(shards, "shard long, documents long, tokens long, value binary")
     # The text writer writes a string's bytes as they are and a line end after each row: a shard file ends in one.
-    files.select("shard", F.col("value").cast("string").alias("value")).write.partitionBy("shard").text(f"{path}/shards")
+    # What the manifest counts stands in the folders' names, so no file is read for it.
+    files.withColumn("value", F.col("value").cast("string")).write.partitionBy("shard", "documents", "tokens").text(f"{path}/shards")
     discard(encoded)
     spark.range(1).select(F.lit(bytearray(dictionary)).alias("dictionary")).write.parquet(f"{path}/dictionary")
     if not total:
         empty = "shard long, documents long, tokens long, start long, dictionary string"
         spark.createDataFrame([], empty).write.json(f"{path}/manifest")
         return
-    counted = _each_shard(spark, path, dictionary, lambda s: [(len(s.ids), int(s.tokens.sum()))], "documents long, tokens long")
+    counted = spark.read.format("binaryFile").load(f"{path}/shards").select(*[F.col(c).cast("long").alias(c) for c in ("shard", "documents", "tokens")])
     before = F.coalesce(F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counted.withColumn("start", before).withColumn("dictionary", F.lit(f"{xxhash.xxh64_intdigest(dictionary):016x}")).coalesce(1).write.json(f"{path}/manifest")
 

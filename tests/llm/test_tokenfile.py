@@ -79,3 +79,46 @@ def test_wide_ids():
     frames = [b"x", b"yy"]
     shard = tokenfile.Shard(tokenfile.build_shard([1, None], [3, 4], frames, 4, b""), b"")
     assert shard.ids == [1, None] and shard.dtype == "<u4" and tokenfile.id_type(70_000) == "<u4"
+
+
+CASED = "Hello World, it's Fine.  Two  spaces\tand\n\nlines; ÉCOLE's İ 123,456 <|endoftext|> x"
+
+
+def test_any_other_tokenizer_is_taken_whole(spark, docs_of, tmp_path):
+    """A cased byte-level vocabulary: ids are the library's own, in columns of texts and through a store."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    cased = Tokenizer.from_file(path)
+    rng = random.Random(4)
+    texts = [CASED, None, "", " ", *["".join(rng.choice(ALPHABET + "ABC xyz") for _ in range(rng.randrange(120))) for _ in range(500)]]
+    own = tokenfile.Encoder(path)
+    assert not own.by_pieces and tokenfile.Encoder(PATH).by_pieces
+    for got, text in zip(own.encode(pa.array(texts, pa.string())), texts, strict=True):
+        assert got.tolist() == ids_of(cased, text)
+    assert len(ids_of(cased, "Hello World, it's Fine.")) < 10
+    store = str(tmp_path / "cased")
+    tokenfile.write(docs_of(list(enumerate(texts))), store, path, end_id=50256)
+    got = {r["doc_id"]: list(r["ids"]) for r in tokenfile.read(spark, store, ids=True).collect()}
+    assert got == {i: [*ids_of(cased, t), 50256] for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("part,value", [("normalizer", {"type": "Lowercase"}), ("normalizer", None), ("pre_tokenizer", {"type": "Whitespace"}), ("post_processor", {"type": "x"})])
+def test_pieces_only_where_the_file_warrants_them(library, part, value):
+    import json
+
+    spec = json.loads(library.to_str())
+    assert tokenfile.by_pieces(spec) and not tokenfile.by_pieces(spec | {part: value})
+    assert not tokenfile.by_pieces(spec | {"added_tokens": [{"content": "plain"}]})
+
+
+def test_the_manifest_counts_what_the_files_hold(spark, docs_of, tmp_path):
+    path = str(tmp_path / "counted")
+    tokenfile.write(docs_of([(i, "some words " * (i % 40)) for i in range(400)]), path, PATH, shard_bytes=3000)
+    told = {r["shard"]: (r["documents"], r["tokens"]) for r in spark.read.json(path + "/manifest").collect()}
+    dictionary = bytes(spark.read.parquet(path + "/dictionary").first()[0])
+    read = {}
+    for r in spark.read.format("binaryFile").load(path + "/shards").collect():
+        shard = tokenfile.Shard(bytes(r["content"]), dictionary)
+        read[r["shard"]] = (len(shard.ids), int(shard.tokens.sum()))
+    assert told == read and len(read) > 2
