@@ -138,9 +138,9 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "path", "licence", F.round("licence_score", 6).alias("licence_score"), "licence_line", "licence_from")
 
 
-_TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES)
+_TEMPLATE_ROWS = ", ".join("({}, '{}', '{}', '{}')".format(k, *(x.replace("'", "''") for x in t)) for k, t in enumerate(licenses.TEMPLATES))
 ORACLES["op7_license_scan"] = (
-    "WITH t(licence, body) AS (VALUES " + _TEMPLATE_ROWS + r"""), f AS (
+    "WITH t(template, licence, kind, body) AS (VALUES " + _TEMPLATE_ROWS + r"""), f AS (
   SELECT doc_id, text, CASE
     WHEN doc_id % 1000 = 0 THEN source || '/LICENSE'
     WHEN doc_id % 50 = 0 THEN source || '/' || lang || '/' || (doc_id // 500) || '/LICENSE.txt'
@@ -148,8 +148,8 @@ ORACLES["op7_license_scan"] = (
     doc_id % 50 = 0 AS holder
   FROM documents
 ), tt AS (
-  SELECT licence, term, count(*) AS tf FROM (SELECT licence, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term FROM t)
-  GROUP BY licence, term
+  SELECT template, licence, kind, term, count(*) AS tf
+  FROM (SELECT template, licence, kind, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term FROM t) GROUP BY ALL
 ), n AS (
   SELECT count(*) AS n FROM f WHERE text IS NOT NULL
 ), df AS (
@@ -159,7 +159,7 @@ ORACLES["op7_license_scan"] = (
 ), idf AS (
   SELECT term, ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1.0 AS idf FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), n
 ), tv AS (
-  SELECT licence, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY licence)) AS tw FROM tt JOIN idf USING (term)
+  SELECT template, licence, kind, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS tw FROM tt JOIN idf USING (term)
 ), lines AS (
   SELECT doc_id, generate_subscripts(string_split_regex(text, '
 |
@@ -178,8 +178,8 @@ ORACLES["op7_license_scan"] = (
 ), pn AS (
   SELECT doc_id, line, sqrt(sum(w * w)) AS norm FROM pw GROUP BY ALL
 ), near AS (
-  SELECT doc_id, line, licence, round(sum(w * tw) / any_value(norm), 9) AS score
-  FROM pw JOIN tv USING (term) JOIN pn USING (doc_id, line) GROUP BY doc_id, line, licence
+  SELECT doc_id, line, template, any_value(licence) AS licence, round(sum(w * tw) / any_value(norm), 9) AS score
+  FROM pw JOIN tv USING (term) JOIN pn USING (doc_id, line) WHERE line = 0 OR kind = 'notice' GROUP BY doc_id, line, template
   HAVING round(sum(w * tw) / any_value(norm), 9) >= 0.8
 ), own AS (
   SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line, licence) = 1

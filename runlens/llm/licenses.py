@@ -1,6 +1,7 @@
 """License scans: sparse TF-IDF cosine of lines and licence files to templates, then inheritance along directories.
 
-Passages are the lines of every file, and also the whole text of files with a licence file's name.  A passage's vector has for
+Templates are notices, as they stand in headers, and full texts.  Passages are the lines of every file, and also the whole text of files with a
+licence file's name; lines are compared with the notices, whole texts with all templates.  A passage's vector has for
 each term (a run of a-z and 0-9 after lower-casing) its count times ln((1 + N) / (1 + df)) + 1, where N counts all files with a
 text and df those of them that have the term.  Template terms get their df from all files; other terms get that of a term no
 file has, which only lowers a cosine.  A file's own licence is its passage's best template at ``threshold`` or more.
@@ -24,22 +25,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._store import materialise, others, plain
+from .licence_texts import NOTICE, TEMPLATES, TEXT
 
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
-    ("MIT", "Released under the MIT License."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0."),
-)
 THRESHOLD = 0.8
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice|unlicense)([._-].*)?$"
-MOST_TERMS = 2000
+#: Templates' terms, and bytes of a table of templates, at most; larger ones are refused.
+MOST_TERMS, MOST_TEMPLATE_BYTES = 2000, 4 << 20
+Template = tuple[str, str, str]
 _TERM = re.compile("[a-z0-9]+")
 
 
@@ -57,43 +49,58 @@ def _literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> D
 class Weights:
     """The templates' vectors for given term statistics."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]], n: int, df: dict[str, int], threshold: float) -> None:
+    def __init__(self, templates: Sequence[Template], n: int, df: dict[str, int], threshold: float) -> None:
         self.rare = math.log(1.0 + n) + 1.0
-        counts = [(name, Counter(_TERM.findall(text.lower()))) for name, text in templates]
-        self.idf = {t: math.log((1.0 + n) / (1.0 + df.get(t, 0))) + 1.0 for _, c in counts for t in c}
+        counts = [(name, kind, Counter(_TERM.findall(text.lower()))) for name, kind, text in templates]
+        self.idf = {t: math.log((1.0 + n) / (1.0 + df.get(t, 0))) + 1.0 for *_, c in counts for t in c}
+        #: (template, licence, kind, term, weight); terms that a line needs one of to be near a notice.
         self.vectors, heavy = [], set()
-        for name, own in counts:
+        for k, (name, kind, own) in enumerate(counts):
             weighed = sorted((c * self.idf[t], t) for t, c in own.items())
             norm2 = sum(w * w for w, _ in weighed)
-            self.vectors += [(name, t, w / math.sqrt(norm2)) for w, t in weighed]
+            self.vectors += [(k, name, kind, t, w / math.sqrt(norm2)) for w, t in weighed]
             light = 0.0
             for w, t in weighed:
                 light += w * w
-                if light >= (threshold * (1 - 1e-9)) ** 2 * norm2:
+                if kind == NOTICE and light >= (threshold * (1 - 1e-9)) ** 2 * norm2:
                     heavy.add(t)
         self.heavy = sorted(heavy)
 
 
-def _weights(texts: DataFrame, templates: Sequence[tuple[str, str]], threshold: float) -> Weights:
+def _templates(templates: Sequence[Template] | DataFrame) -> list[Template]:
+    """The templates as a list; of a table (licence, kind, text) its bytes are checked first.  Templates without a term are left out."""
+    if isinstance(templates, DataFrame):
+        rows = templates.select("licence", "kind", "text").where("licence is not null and text is not null")
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        if size > MOST_TEMPLATE_BYTES:
+            raise ValueError("the templates have more bytes than MOST_TEMPLATE_BYTES")
+        templates = [tuple(r) for r in rows.distinct().orderBy("licence", "kind", "text").collect()]
+    for licence, kind, _ in templates:
+        if kind not in (NOTICE, TEXT):
+            raise ValueError(f"no kind of template: {licence}, {kind}")
+    return [t for t in templates if _TERM.search(t[2].lower())]
+
+
+def _weights(texts: DataFrame, templates: Sequence[Template], threshold: float) -> Weights:
     """The templates' vectors by the statistics of all texts; what comes to the driver is a count for each template term."""
-    vocabulary = sorted({t for _, text in templates for t in _TERM.findall(text.lower())})
+    vocabulary = sorted({t for *_, text in templates for t in _TERM.findall(text.lower())})
     if len(vocabulary) > MOST_TERMS:
         raise ValueError("the templates have more terms than MOST_TERMS")
-    wanted = F.array(*[F.lit(t) for t in vocabulary])
+    wanted = F.array(*[F.lit(t) for t in vocabulary]).cast("array<string>")
     seen = texts.where("text is not null").select(F.array_append(F.array_intersect(terms(F.col("text")), wanted), "").alias("found"))
     df = {r["term"]: r["n"] for r in seen.select(F.explode("found").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
     return Weights(templates, df.get("", 0), df, threshold)  # '' counts the texts
 
 
 def _passages(path: Column, text: Column, weights: Weights) -> Column:
-    """(line, passage) of all passages with a heavy term; lines count from 1, the whole text of a licence file is line 0."""
-    heavy = f"(?<![a-z0-9])(?:{'|'.join(weights.heavy)})(?![a-z0-9])"
+    """(line, passage) of all whole licence files (line 0), and of all lines, counted from 1, with a heavy term."""
+    heavy = f"(?<![a-z0-9])(?:{'|'.join(weights.heavy)})(?![a-z0-9])" if weights.heavy else "(?!)"
     none = F.array().cast("array<struct<line: int, passage: string>>")
     numbered = F.transform(F.split(text, r"\r\n|\n|\r"), lambda x, i: F.struct((i + 1).alias("line"), x.alias("passage")))
     is_file = F.element_at(F.split(path, "/"), -1).rlike(LICENCE_FILE)
     whole = F.when(is_file, F.array(F.struct(F.lit(0).alias("line"), text.alias("passage")))).otherwise(none)
-    some = F.filter(F.concat(whole, numbered), lambda p: F.lower(p["passage"]).rlike(heavy))
-    return F.when(F.lower(text).rlike(heavy), some).otherwise(none)
+    lines = F.when(F.lower(text).rlike(heavy), F.filter(numbered, lambda p: F.lower(p["passage"]).rlike(heavy))).otherwise(none)
+    return F.coalesce(F.concat(whole, lines), none)
 
 
 def _best(passages: DataFrame, weights: Weights, threshold: float) -> DataFrame:
@@ -103,8 +110,9 @@ def _best(passages: DataFrame, weights: Weights, threshold: float) -> DataFrame:
     idf = F.create_map(*[F.lit(x) for pair in sorted(weights.idf.items()) for x in pair])
     weighed = counted.withColumn("w", F.col("tf") * F.coalesce(F.try_element_at(idf, F.col("term")), F.lit(weights.rare)))
     norms = weighed.groupBy("file", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    vectors = _literal_table(passages.sparkSession, weights.vectors, "licence string, term string, tw double")
-    dots = weighed.join(F.broadcast(vectors), "term").groupBy("file", "line", "licence").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    vectors = _literal_table(passages.sparkSession, weights.vectors, "template int, licence string, kind string, term string, tw double")
+    met = weighed.join(F.broadcast(vectors), "term").where((F.col("line") == 0) | (F.col("kind") == NOTICE))
+    dots = met.groupBy("file", "line", "template").agg(F.first("licence").alias("licence"), F.sum(F.col("w") * F.col("tw")).alias("dot"))
     near = dots.join(norms, ["file", "line"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= threshold)
     best = near.groupBy("file").agg(F.min(F.struct((-F.col("score")).alias("s"), "line", "licence", "score")).alias("b"))
     return best.select("file", "b.licence", "b.score", "b.line")
@@ -116,20 +124,27 @@ def directory(path: Column) -> Column:
 
 
 def scan(
-    files: DataFrame, path_col: str = "path", text_col: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD
+    files: DataFrame,
+    path_col: str = "path",
+    text_col: str = "text",
+    templates: Sequence[Template] | DataFrame = TEMPLATES,
+    threshold: float = THRESHOLD,
 ) -> DataFrame:
     """``files`` without its texts, with the columns licence, licence_score, licence_line and licence_from; columns of those names, in any case, are replaced.
 
     licence_from is the file's own path, or the directory whose licence file it inherits from ('' is the top); all four are null where
     nothing is found.  If a directory has several licence files with a licence, the one with the highest score counts, then the least path.
     Null and empty texts have no licence of their own but can inherit; a null path never inherits.  Rows with one path are files of
-    their own.  An empty table gives an empty one.
+    their own.  An empty table gives an empty one.  ``templates`` may be a table (licence, kind, text); a kind is notice or text.
     """
     new = ("licence", "licence_score", "licence_line", "licence_from")
     rows, path, text = plain(files, path_col, text_col)
     keep = [i for i in others(files.columns, new) if f"c{i}" != text]
     rows = rows.select(F.struct(*[F.col(f"c{i}") for i in keep]).alias("row"), F.col(path).cast("string").alias("path"), F.col(text).cast("string").alias("text"))
-    weights = _weights(rows.select("text"), templates, threshold)
+    weights = _weights(rows.select("text"), _templates(templates), threshold)
+    if not weights.vectors:
+        none = [F.lit(None).cast(t) for t in ("string", "double", "int", "string")]
+        return rows.select("row.*", *none).toDF(*[files.columns[i] for i in keep], *new)
     some = _passages(F.col("path"), F.col("text"), weights)
     # A row's number brings a passage back to its row; written down, it stays the same whatever is computed again.
     keyed = materialise(rows.select(F.monotonically_increasing_id().alias("file"), "row", "path", some.alias("some")), "passages")
@@ -143,7 +158,8 @@ def scan(
     lines = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda i: F.array_join(F.slice(steps, 1, i), "/"))
     ancestors = judged.where("path is not null").select("dir").distinct().select("dir", F.posexplode(F.array_distinct(lines)).alias("depth", "from"))
     nearest = ancestors.join(granted, "from").groupBy("dir").agg(F.max(F.struct("depth", "from", "dir_licence", "dir_score")).alias("n"))
-    both = judged.join(nearest, "dir", "left")
+    # Written down, so that the join is one of plain tables and a directory of very many files can be split over tasks.
+    both = judged.join(materialise(nearest, "directories"), "dir", "left")
     has = F.col("licence").isNotNull()
     return both.select(
         "row.*",
