@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Endings of result files, and the layouts of their paths.
 UNRELAXED = "_unrelaxed.pdb"
 RELAXED = "_relaxed.pdb"
 #: The strict layout; {model} is a pattern for the model directory's name before its epoch.

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import strip
 from ..functions.columns import nan_to_null
 
+#: How a log names a run, and the states that it can be in.
 KEY = r"epoch_(\d+)/.*?repeat_(\d+)/predictions/(.+?)_model_1_(unrelaxed|relaxed)\.pdb"
 SKIPPED = "skipped_existing_relaxed"
 _STATES = {"relaxing": "running", "saved": "success", "error": "error"}

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import project_keep, ratio, where_if_present
+from .stats import percentiles
 
 KEYS = ["epoch", "repeat", "chain"]
-OUTCOME_COLUMNS = [*KEYS, "status", "relax_error", "relax_success", "unrelaxed_path", "relaxed_path", "relaxed_exists"]
+#: The columns of the two tables, in their order.
+OUTCOME_COLUMNS = [*KEYS, "status", "relax_success", "relax_error", "unrelaxed_path", "relaxed_path", "relaxed_exists"]
 QUALITY_COLUMNS = [*KEYS, "mean_plddt", "min_plddt", "max_plddt", "num_residues", "state", "pdb_path"]
 
 
@@ -53,37 +55,43 @@ def summarize(merged: DataFrame, key: str) -> DataFrame:
             F.coalesce(F.sum("relax_error"), F.lit(0)).cast("bigint").alias("errors"),
             F.coalesce(F.sum("relax_success"), F.lit(0)).cast("bigint").alias("success"),
             F.avg(m).alias("mean_plddt"),
-            F.median(m).alias("median_plddt"),
             F.stddev_samp(m).alias("std_plddt"),
             F.min(m).alias("min_plddt"),
             F.max(m).alias("max_plddt"),
         )
     )
+    out = _with_median(out, merged, key, "median_plddt")
+    out = out.select(key, "total", "errors", "success", "mean_plddt", "median_plddt", "std_plddt", "min_plddt", "max_plddt")
     return out.withColumn("error_rate", ratio(F.col("errors"), F.col("total"))).withColumn("success_rate", ratio(F.col("success"), F.col("total")))
 
 
 def by_outcome(merged: DataFrame) -> DataFrame:
     """The distribution of the quality for each outcome."""
     m = F.col("mean_plddt")
-    return (
+    out = (
         merged.where(F.col("relax_error").isNotNull())
         .groupBy("relax_error")
         .agg(
             F.count(m).alias("count"),
             F.avg(m).alias("mean"),
-            F.median(m).alias("median"),
             F.stddev_samp(m).alias("std"),
             F.min(m).alias("min"),
             F.max(m).alias("max"),
         )
     )
+    return _with_median(out, merged, "relax_error", "median").select("relax_error", "count", "mean", "median", "std", "min", "max")
+
+
+def _with_median(summary: DataFrame, merged: DataFrame, key: str, name: str) -> DataFrame:
+    """A summary by one column with the exact median of the quality; null where a group has none."""
+    found = percentiles(merged, key, "mean_plddt", [0.5])
+    return summary.join(found, key, "left").withColumn(name, F.col("percentiles")[0])
 
 
 def box_inputs(merged: DataFrame) -> DataFrame:
     """The five numbers of a box chart for each outcome, exact."""
-    five = F.percentile("mean_plddt", F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    out = merged.where("mean_plddt is not null and relax_error is not null").groupBy("relax_error").agg(five.alias("p"))
-    return out.select("relax_error", *[F.col("p")[i].alias(n) for i, n in enumerate(("low", "q1", "median", "q3", "high"))])
+    out = percentiles(merged, "relax_error", "mean_plddt", [0.0, 0.25, 0.5, 0.75, 1.0])
+    return out.select("relax_error", *[F.col("percentiles")[i].alias(n) for i, n in enumerate(("low", "q1", "median", "q3", "high"))])
 
 
 def mean_quality(merged: DataFrame, key: str) -> DataFrame:

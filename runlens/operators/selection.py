@@ -32,10 +32,16 @@ def at_least(counts: DataFrame, successes: int, exactly: bool = False) -> DataFr
 
 
 def pivot(counts: DataFrame, value: str, epochs: Sequence[int] | None = None) -> DataFrame:
-    """One row for each chain, one column for each epoch; null where a chain has no such epoch.  (epoch, chain) must be unique."""
+    """One row for each chain, one column for each epoch; null where a chain has no such epoch.
+
+    (epoch, chain) must be unique: a pair that occurs twice raises when the matrix is made.
+    """
     if epochs is None:
         epochs = [r[0] for r in counts.select("epoch").distinct().orderBy("epoch").collect()]
-    return counts.groupBy("chain").pivot("epoch", list(epochs)).agg(F.first(value))
+    cells = counts.groupBy("chain", "epoch").agg(F.count("*").alias("_n"), F.max(value).alias("_v"))
+    again = F.raise_error(F.concat(F.lit("duplicate cell: chain "), F.col("chain"), F.lit(", epoch "), F.col("epoch").cast("string")))
+    cells = cells.select("chain", "epoch", F.when(F.col("_n") > 1, again.cast(counts.schema[value].dataType)).otherwise(F.col("_v")).alias("_v"))
+    return cells.groupBy("chain").pivot("epoch", list(epochs)).agg(F.first("_v"))
 
 
 def chain_priority(counts: DataFrame) -> DataFrame:

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import chain_key, project_keep, where_if_present
+from ..functions import chain_from_name, chain_key, last_segment, loose_key, project_keep, relaxed_sibling, strict_key, where_if_present
 from ..operators import logfold, outcome, planning, quality, selection, stats
+from ..sources import ca_values, outcome_listing, quality_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -324,19 +325,134 @@ add(
 # Fixed-width records and logs
 
 
-def _fixed_width(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    value = F.length(F.trim(F.substring("line", 61, 6))).cast("double")
-    rows = lines.where(F.trim(F.substring("line", 13, 4)) != "").select("doc_id", value.alias("v")).where("v > 0")
-    return rows.groupBy("doc_id").agg(F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"), F.count("*").alias("n"))
+def _paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each event: in the strict layout, of another model, or without one of the markers."""
+    epoch, other = F.day("ts").cast("string"), F.col("event_id") % 9
+    folder = F.when(other == 4, "misc").otherwise(F.concat(F.lit("epoch_"), epoch))
+    name = F.concat(F.lit("c"), (F.col("user_id") % 7).cast("string"), F.when(other == 5, "_model_2").otherwise("_model_1"))
+    state = F.when(F.col("event_id") % 2 == 0, "_unrelaxed.pdb").otherwise("_relaxed.pdb")
+    repeat = F.when(other == 6, "again").otherwise(F.concat(F.lit("repeat_"), (F.col("event_id") % 5 + 1).cast("string")))
+    model = F.concat(F.when(F.col("event_id") % 3 == 0, "your_model_epoch_").otherwise("trained_model_epoch_"), epoch)
+    path = F.concat(F.concat_ws("/", F.lit("/r"), folder, model, repeat, F.lit("predictions"), name), state)
+    return table(spark, sf_dir, "events").select("event_id", "event_type", path.alias("path"))
+
+
+PATHS = """p AS (
+  SELECT event_id, event_type, event_id % 9 AS other, day(ts)::INT AS epoch, (event_id % 5 + 1)::INT AS repeat, 'c' || (user_id % 7) AS c,
+    CASE WHEN event_id % 2 = 0 THEN 'unrelaxed' ELSE 'relaxed' END AS state,
+    '/r/' || CASE WHEN event_id % 9 = 4 THEN 'misc' ELSE 'epoch_' || day(ts) END
+      || CASE WHEN event_id % 3 = 0 THEN '/your' ELSE '/trained' END || '_model_epoch_' || day(ts)
+      || CASE WHEN event_id % 9 = 6 THEN '/again' ELSE '/repeat_' || (event_id % 5 + 1) END
+      || '/predictions/c' || (user_id % 7) || CASE WHEN event_id % 9 = 5 THEN '_model_2' ELSE '_model_1' END AS stem
+  FROM events
+)"""
+
+
+def _path_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.col("path")
+    strict, key = strict_key(path)
+    loose, marks = loose_key(path)
+    return _paths(spark, sf_dir).select(
+        "event_id", strict.alias("strict"), F.when(strict, key["epoch"]).alias("s_epoch"), F.when(strict, key["repeat"]).alias("s_repeat"),
+        F.when(strict, key["chain"]).alias("s_chain"), F.when(strict, key["state"]).alias("s_state"), loose.alias("loose"),
+        F.when(loose, marks["epoch"]).alias("l_epoch"), F.when(loose, marks["repeat"]).alias("l_repeat"),
+        chain_from_name(last_segment(path)).alias("chain"), relaxed_sibling(path).alias("sibling"),
+    )
+
+
+add(
+    "path_keys",
+    _path_keys,
+    f"""WITH {PATHS}, k AS (SELECT *, other NOT IN (4, 5, 6) AS strict, other <> 6 AS loose FROM p)
+SELECT event_id, strict, CASE WHEN strict THEN epoch END AS s_epoch, CASE WHEN strict THEN repeat END AS s_repeat, CASE WHEN strict THEN c END AS s_chain,
+  CASE WHEN strict THEN state END AS s_state, loose, CASE WHEN loose THEN epoch END AS l_epoch, CASE WHEN loose THEN repeat END AS l_repeat,
+  CASE WHEN state = 'relaxed' THEN c || CASE WHEN other = 5 THEN '_model_2' ELSE '_model_1' END || '_relaxed.pdb' WHEN other = 5 THEN c || '_model_2' ELSE c END AS chain,
+  stem || '_relaxed.pdb' AS sibling FROM k""",
+)
+
+
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is a record of its file; every third is of another atom, some have no number."""
+    number = F.when(F.col("event_id") % 13 == 0, "  ****").otherwise(F.format_string("%6.2f", (F.col("event_id") % 9973) / 100.0))
+    kind = F.when(F.col("event_id") % 17 == 0, "HETATM").otherwise("ATOM  ")
+    atom = F.when(F.col("event_id") % 3 == 0, " N  ").otherwise(" CA ")
+    line = F.concat(kind, F.lpad((F.col("event_id") % 99999).cast("string"), 5, " "), F.lit(" "), atom, F.rpad(F.lit(" ALA A   1"), 44, " "), number, F.lit("           C"))
+    return quality_of(ca_values(_paths(spark, sf_dir).select("path", line.alias("line"))))
 
 
 add(
     "scan_fixed_width",
-    _fixed_width,
-    """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
-v AS (SELECT doc_id, length(trim(substr(line, 61, 6)))::DOUBLE AS v FROM l WHERE trim(substr(line, 13, 4)) <> '')
-SELECT doc_id, round(avg(v), 6) AS mean, min(v) AS min, max(v) AS max, count(*) AS n FROM v WHERE v > 0 GROUP BY doc_id""",
+    _quality,
+    f"""WITH {PATHS}
+SELECT epoch, repeat, c AS chain, state, stem || '_' || state || '.pdb' AS pdb_path, round(avg((event_id % 9973) / 100.0), 6) AS mean_plddt,
+  min((event_id % 9973) / 100.0) AS min_plddt, max((event_id % 9973) / 100.0) AS max_plddt, count(*) AS num_residues
+FROM p WHERE other NOT IN (4, 5, 6) AND event_id % 3 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0 GROUP BY ALL""",
+)
+
+
+def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files are listed once for each event; those of errors have no relaxed counterpart."""
+    paths = _paths(spark, sf_dir).where("event_id % 2 = 0")
+    relaxed = paths.where("event_type != 'error'").select(relaxed_sibling(F.col("path")).alias("path"))
+    return outcome_listing(paths, relaxed)
+
+
+add(
+    "outcome_listing",
+    _listing,
+    f"""WITH {PATHS}, u AS (SELECT stem, epoch, repeat, other, c, max((event_type <> 'error')::INT) AS ok FROM p WHERE event_id % 2 = 0 AND other NOT IN (4, 6) GROUP BY ALL
+UNION ALL SELECT stem, epoch, repeat, other, c, max((event_type <> 'error')::INT) FROM p WHERE event_id % 2 = 0 AND other = 4 GROUP BY ALL
+), d AS (SELECT stem, epoch, repeat, max(c || CASE WHEN other = 5 THEN '_model_2' ELSE '' END) AS chain, max(ok) AS ok FROM u GROUP BY stem, epoch, repeat)
+SELECT epoch, repeat, chain, CASE ok WHEN 1 THEN 'success' ELSE 'error' END AS status, ok AS relax_success, 1 - ok AS relax_error,
+  stem || '_unrelaxed.pdb' AS unrelaxed_path, stem || '_relaxed.pdb' AS relaxed_path, ok = 1 AS relaxed_exists FROM d""",
+)
+
+
+def _recommended(spark: SparkSession, sf_dir: str, which: int) -> DataFrame:
+    runs = sample1(spark, sf_dir).withColumn("mean_plddt", F.floor(F.col("mean_plddt") / 5) * 5.0)
+    outcomes = runs.select(*KEYS, "relax_success", F.concat(F.lit("/u/"), F.col("event_id").cast("string")).alias("unrelaxed_path"))
+    scores = runs.select(*KEYS, "mean_plddt", F.lit("unrelaxed").alias("state")).union(runs.select(*KEYS, F.lit(1e9), F.lit("relaxed")))
+    return selection.recommend(outcomes, scores)[which]
+
+
+RECOMMENDED = """best AS (
+  SELECT chain, epoch, repeat, floor(mean_plddt / 5) * 5.0 AS mean_plddt, '' AS relaxed_path, '/u/' || event_id AS unrelaxed_path FROM sample1
+  WHERE relax_success = 1 AND mean_plddt IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY epoch, chain ORDER BY floor(mean_plddt / 5) DESC, repeat) = 1
+)"""
+add("recommend_best", lambda s, d: _recommended(s, d, 0))
+ORACLES["recommend_best"] = f"WITH {SAMPLE}, {RECOMMENDED} SELECT * FROM best"
+add("recommend_some", lambda s, d: _recommended(s, d, 1))
+ORACLES["recommend_some"] = f"""WITH {SAMPLE}, {RECOMMENDED} SELECT * FROM best
+QUALIFY row_number() OVER (PARTITION BY chain ORDER BY epoch) - 1 IN (0, count(*) OVER (PARTITION BY chain) // 2, count(*) OVER (PARTITION BY chain) - 1)"""
+add(
+    "prepare_chains",
+    lambda s, d: selection.prepare_chains(
+        table(s, d, "customer").select(
+            (F.col("c_custkey") % 3).cast("int").alias("model_id"), F.col("c_mktsegment").alias("pdb_id"),
+            F.when(F.col("c_custkey") % 2 == 0, "a").otherwise("A").alias("chain_id"), F.col("c_custkey").alias("chain_length"), F.col("c_name").alias("seq"), "c_nationkey",
+        ),
+        [F.col("chain_length")],
+    ),
+    """SELECT lower(c_mktsegment) || '_A' AS chain_key, c_mktsegment AS pdb_id, CASE WHEN c_custkey % 2 = 0 THEN 'a' ELSE 'A' END AS chain_id, 1 AS model_id,
+  c_custkey AS chain_length, c_name AS seq FROM customer WHERE c_custkey % 3 = 1 QUALIFY row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) = 1""",
+)
+
+
+def _presets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plans = [planning.preset(spark, name, 2).select(F.lit(name).alias("preset"), "epoch", "repeat", "block") for name in planning.PRESETS]
+    out = plans[0]
+    for plan in plans[1:]:
+        out = out.union(plan)
+    return out
+
+
+_RANGES = "('all', 0, 32), ('half1', 0, 14), ('half2', 15, 32), ('v4', 0, 7), ('v5', 8, 14), ('v6', 15, 20), ('v7', 21, 26), ('v8', 32, 32), ('v9', 5, 7), ('v10', 0, 7), ('v11', 15, 21), ('v12', 21, 26), ('v13', 27, 32)"
+add(
+    "run_plan_presets",
+    _presets,
+    f"""SELECT preset, epoch::INT AS epoch, repeat::INT AS repeat, {_CASE} AS block
+FROM (VALUES {_RANGES}) p(preset, lo, hi) JOIN range(0, 33) e(epoch) ON epoch BETWEEN lo AND hi, range(1, 3) r(repeat)""",
 )
 
 
@@ -399,3 +515,29 @@ UNION ALL SELECT 'pearson_mean_plddt_relax_error', round(corr(mean_plddt, relax_
 UNION ALL SELECT 'spearman_epoch_mean_plddt', round(corr(re, rq), 6) FROM ranked
 UNION ALL SELECT 'spearman_mean_plddt_relax_error', round(corr(rq, rr), 6) FROM ranked"""
 add("logistic_model", lambda s, d: stats.logistic(sample(s, d)).coefficients)
+
+
+def _score_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(term, score): the mean of residual times term; all zero exactly at the coefficients of the largest likelihood."""
+    rows = sample(spark, sf_dir).where("mean_plddt is not null")
+    coef = {r["term"]: r["coef"] for r in stats.logistic(rows).coefficients.collect()}  # a dozen rows
+
+    def value(term: str) -> Column:
+        if term == "Intercept":
+            return F.lit(1.0)
+        if not term.startswith("C("):
+            return F.col(term).cast("double")
+        name, _, level = term[2:-1].partition(")[T.")
+        return (F.col(name).cast("string") == level).cast("double")
+
+    z = sum((F.lit(c) * value(t) for t, c in coef.items()), F.lit(0.0))
+    rest = rows.select("*", (F.col("relax_error") - 1 / (1 + F.exp(-z))).alias("rest"))
+    terms = [F.struct(F.lit(t).alias("term"), F.round(F.avg(F.col("rest") * value(t)), 6).alias("score")) for t in sorted(coef)]
+    return rest.agg(F.array(*terms).alias("all")).select(F.inline("all")).select("term", (F.col("score") + 0.0).alias("score"))
+
+
+add("logistic_score_equations", _score_equations)
+ORACLES["logistic_score_equations"] = f"""WITH {SAMPLE}, s AS (SELECT * FROM sample WHERE mean_plddt IS NOT NULL)
+SELECT unnest(['Intercept', 'mean_plddt', 'epoch']) AS term, 0.0::DOUBLE AS score
+UNION ALL SELECT 'C(chain)[T.' || chain || ']', 0.0 FROM (SELECT DISTINCT chain FROM s) WHERE chain <> (SELECT min(chain) FROM s)
+UNION ALL SELECT 'C(repeat)[T.' || repeat || ']', 0.0 FROM (SELECT DISTINCT repeat FROM s) WHERE repeat <> (SELECT min(repeat) FROM s)"""

@@ -1,11 +1,13 @@
 """Reading result trees, fixed-width records, job logs and CSV tables; writing results."""
 
-from .files import list_files, outcome_listing, quality_table, read_ca_values, read_csv_by_name, read_log_lines, skipped_files, tree_stats
+from .files import ca_values, list_files, outcome_listing, quality_of, quality_table, read_ca_values, read_csv_by_name, read_log_lines, skipped_files, tree_stats
 from .sinks import write_csv, write_matrix, write_text
 
 __all__ = [
+    "ca_values",
     "list_files",
     "outcome_listing",
+    "quality_of",
     "quality_table",
     "read_ca_values",
     "read_csv_by_name",

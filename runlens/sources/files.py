@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns, paths
 
+#: The names of result files.
 ANY_STATE = "*_{unrelaxed,relaxed}.pdb"
 UNRELAXED_ONLY = "*_unrelaxed.pdb"
 
@@ -34,10 +35,15 @@ def ca_value(line: Column) -> Column:
 def read_ca_values(spark: SparkSession, root: str, pattern: str = ANY_STATE) -> DataFrame:
     """(path, value): one row for every CA record with a value.  Records with alternate locations count each."""
     reader = spark.read.format("text").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    lines = reader.load(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    return ca_values(reader.load(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")))
+
+
+def ca_values(lines: DataFrame) -> DataFrame:
+    """(path, value) of (path, line)."""
     return lines.select("path", ca_value(F.col("line")).alias("value")).where("value is not null")
 
 
+#: The columns of the quality table.
 QUALITY_SCHEMA = "epoch int, repeat int, chain string, state string, pdb_path string, mean_plddt double, min_plddt double, max_plddt double, num_residues bigint"
 
 
@@ -46,7 +52,11 @@ def quality_table(spark: SparkSession, root: str, unrelaxed_only: bool = False,
 
     Paths are filtered before any statistics are taken; files without values drop out of the aggregate by themselves.
     """
-    values = read_ca_values(spark, root, UNRELAXED_ONLY if unrelaxed_only else ANY_STATE)
+    return quality_of(read_ca_values(spark, root, UNRELAXED_ONLY if unrelaxed_only else ANY_STATE), models)
+
+
+def quality_of(values: DataFrame, models: str = paths.MODELS) -> DataFrame:
+    """The quality table of (path, value), whoever read them."""
     fits, key = paths.strict_key(F.col("path"), models)
     per_file = (
         values.where(fits)

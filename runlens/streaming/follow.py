@@ -33,13 +33,21 @@ def follow_quality(spark: SparkSession, root: str, files_per_batch: int = 10_000
     )
 
 
-def follow_outcomes(spark: SparkSession, root: str, files_per_batch: int = 10_000) -> DataFrame:
-    """A streaming aggregate (epoch, repeat, chain, unrelaxed, relaxed): which files of each run have been seen so far."""
+def follow_outcomes(spark: SparkSession, root: str, files_per_batch: int = 10_000, within: str | None = None) -> DataFrame:
+    """A streaming aggregate (epoch, repeat, chain, unrelaxed, relaxed): which files of each run have been seen so far.
+
+    Without ``within`` every run is remembered for ever.  With it, say "7 days", a run is closed when no file of it was modified for that long
+    behind the newest seen: it can be written in append mode, its state goes, and files later than that open the run anew.
+    """
     stream = spark.readStream.schema(_FILES).format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", ANY_STATE)
-    files = stream.option("maxFilesPerTrigger", files_per_batch).load(root).select("path")
+    files = stream.option("maxFilesPerTrigger", files_per_batch).load(root).select("path", "modificationTime")
     found, key = loose_key(F.col("path"))
     name = F.replace(last_segment(F.col("path")), F.lit("_relaxed.pdb"), F.lit("_unrelaxed.pdb"))
     rows = files.where(found).select(
-        key["epoch"].alias("epoch"), key["repeat"].alias("repeat"), chain_from_name(name).alias("chain"), F.col("path").endswith("_unrelaxed.pdb").alias("u")
+        key["epoch"].alias("epoch"), key["repeat"].alias("repeat"), chain_from_name(name).alias("chain"), F.col("path").endswith("_unrelaxed.pdb").alias("u"), "modificationTime"
     )
+    if within is not None:
+        last = F.session_window("modificationTime", within)
+        grouped = rows.withWatermark("modificationTime", within).groupBy("epoch", "repeat", "chain", last)
+        return grouped.agg(F.max("u").alias("unrelaxed"), F.max(~F.col("u")).alias("relaxed")).drop("session_window")
     return rows.groupBy("epoch", "repeat", "chain").agg(F.max("u").alias("unrelaxed"), F.max(~F.col("u")).alias("relaxed"))

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,89 @@ def test_summaries(spark):
     assert set(s) == {1, 2} and s[1]["total"] == 2 and s[1]["mean_plddt"] is None and s[2]["std_plddt"] is None
 
 
+@pytest.mark.parametrize("accuracy", [10_000, 50])
+def test_percentiles(spark, accuracy):
+    """Against sorted lists; with a low accuracy the brackets are narrow and rows below them are only counted."""
+    rng, rows = random.Random(6), []
+    for n in (1, 2, 3, 49, 50, 51, 700, 3000):
+        rows += [(f"g{n}", rng.choice([rng.gauss(0, 1), float(rng.randrange(4))])) for _ in range(n)]
+    rows += [("same", 2.0)] * 400 + [("none", None), (None, 1.0)]
+    at = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {r["g"]: r["percentiles"] for r in stats.percentiles(spark.createDataFrame(rows, "g string, v double"), "g", "v", at, accuracy).collect()}
+    assert set(got) == {g for g, v in rows if g and v is not None}
+    for g, found in got.items():
+        own = sorted(v for h, v in rows if h == g and v is not None)
+        for p, x in zip(at, found, strict=True):
+            k = p * (len(own) - 1)
+            lo, hi = own[math.floor(k)], own[math.ceil(k)]
+            assert x == pytest.approx(lo + (hi - lo) * (k - math.floor(k)), abs=1e-12), (g, p)
+    assert stats.percentiles(spark.createDataFrame([], "g string, v double"), "g", "v", at).count() == 0
+
+
+def test_many_ranges(spark):
+    rng = random.Random(7)
+    values = [float(rng.randrange(900)) for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    table = stats.rank_tables(df, ["v"], range_rows=10)[0]
+    got = {r["value"]: r["rank"] for r in table.collect()}
+    order = sorted(values)
+    assert got == {v: order.index(v) + (values.count(v) + 1) / 2 for v in set(values)}
+
+
+def test_pivot_raises_on_duplicates(spark):
+    df = spark.createDataFrame([("A", 1, 2), ("A", 1, 3), ("B", 1, 1)], "chain string, epoch int, success int")
+    with pytest.raises(Exception, match="duplicate cell: chain A, epoch 1"):
+        selection.pivot(df, "success", [1, 2]).collect()
+
+
+def newton(x, y):
+    """Coefficients and two-sided p-values of a logistic regression, by plain Newton steps."""
+    beta = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ beta))
+        info = x.T @ (x * (p * (1 - p))[:, None])
+        step = np.linalg.solve(info, x.T @ (y - p))
+        beta += step
+        if np.abs(step).max() < 1e-12:
+            break
+    z = beta / np.sqrt(np.diag(np.linalg.inv(info)))
+    return beta, [math.erfc(abs(v) / math.sqrt(2)) for v in z]
+
+
+def test_logistic_against_newton(spark):
+    rng = np.random.default_rng(3)
+    n = 1200
+    q, e, c, r = rng.uniform(0, 4, n), rng.integers(0, 6, n), rng.integers(0, 3, n), rng.integers(1, 4, n)
+    y = (rng.random(n) < 1 / (1 + np.exp(-(0.7 - q + 0.2 * e + (c == 1) - 0.5 * (r == 2))))).astype(float)
+    rows = [(int(e[i]), int(r[i]), "ABC"[c[i]], int(y[i]), float(q[i])) for i in range(n)]
+    fit = stats.logistic(spark.createDataFrame(rows, "epoch int, repeat int, chain string, relax_error int, mean_plddt double"))
+    x = np.stack([np.ones(n), q, e, c == 1, c == 2, r == 2, r == 3], axis=1).astype(float)
+    beta, pvalues = newton(x, y)
+    terms = ["Intercept", "mean_plddt", "epoch", "C(chain)[T.B]", "C(chain)[T.C]", "C(repeat)[T.2]", "C(repeat)[T.3]"]
+    got = {t["term"]: (t["coef"], t["pvalue"]) for t in fit.coefficients.collect()}
+    assert set(got) == set(terms)
+    for term, b, p in zip(terms, beta, pvalues, strict=True):
+        assert got[term] == (pytest.approx(b, abs=1e-6), pytest.approx(p, abs=1e-6)), term
+
+
+def test_a_bug_is_not_a_failed_fit(spark, monkeypatch):
+    import pyspark.ml.regression as ml
+
+    def broken(*a, **k):
+        raise TypeError("a bug")
+
+    monkeypatch.setattr(ml, "GeneralizedLinearRegression", broken)
+    df = spark.createDataFrame([(e, 1, "A", e % 2, float(e)) for e in range(9)], "epoch int, repeat int, chain string, relax_error int, mean_plddt double")
+    with pytest.raises(TypeError, match="a bug"):
+        stats.logistic(df)
+
+
+def test_merge_keeps_the_order_of_columns(spark):
+    left = spark.createDataFrame([(1, 1, "A", "x", 1, 0)], "epoch int, repeat int, chain string, status string, relax_success int, relax_error int")
+    right = spark.createDataFrame([(1, 1, "A", 80.0)], "epoch int, repeat int, chain string, mean_plddt double")
+    assert quality.merge(left, right).columns == ["epoch", "repeat", "chain", "status", "relax_success", "relax_error", "mean_plddt"]
+
+
 def test_chains(spark):
     rows = [(0, "1ABC", "a", 1, 10), (1, "1abc", "A", 1, 11), (2, "2xyz", "B", 2, 12)]
     df = spark.createDataFrame(rows, "pos int, pdb_id string, chain_id string, model_id int, chain_length int")

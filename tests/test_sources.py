@@ -82,6 +82,16 @@ def test_csv(spark, tmp_path):
     assert [r[0] for r in spark.read.text(str(tmp_path / "t")).collect()] == ["line one", "line two"]
 
 
+def test_matrix(spark, tmp_path):
+    cells = spark.createDataFrame([("A", 1, 5), ("B", 2, 3)], "chain string, epoch int, success int")
+    from runlens.operators import selection
+
+    sources.write_matrix(selection.pivot(cells, "success", [1, 2]), str(tmp_path / "m"))
+    found = sources.read_csv_by_name(spark, str(tmp_path / "m"), {"1": "int", "2": "int"})
+    assert found.columns == ["chain", "1", "2"] and sorted(tuple(r) for r in found.collect()) == [("A", 5, None), ("B", None, 3)]
+    assert len([f for f in os.listdir(tmp_path / "m") if f.endswith(".csv")]) == 1
+
+
 def test_log_lines(spark, tmp_path):
     (tmp_path / "x.log").write_bytes(b"a\r\nb\n\tc \xff\n")
     rows = sources.read_log_lines(spark, str(tmp_path / "x.log")).orderBy("pos").collect()
@@ -97,3 +107,19 @@ def test_streams(spark, tree, tmp_path):
     q.awaitTermination(120)
     found = {r["chain"]: (r["unrelaxed"], r["relaxed"]) for r in spark.table("outcome_stream").collect()}
     assert found["1abc_A"] == (True, True) and found["1abc_B"] == (True, False)
+
+
+def test_closed_runs_leave_the_state(spark, tree, tmp_path):
+    """With an expiry the runs are sessions: old ones are written once, in append mode."""
+    root = tmp_path / "tree"
+    for day, chain in ((0, "A"), (40, "B")):
+        for state in ("unrelaxed", "relaxed")[: 2 - (chain == "B")]:
+            f = root / f"epoch_1/your_model_epoch_1/repeat_1/predictions/{chain}_model_1_{state}.pdb"
+            os.makedirs(f.parent, exist_ok=True)
+            f.write_text("x")
+            os.utime(f, (1_700_000_000 + day * 86_400,) * 2)
+    for _ in range(2):  # the second run sees nothing new and only closes what the first left behind the watermark
+        q = follow_outcomes(spark, str(root), within="7 days").writeStream.format("parquet").option("path", str(tmp_path / "out")).outputMode("append")
+        q.option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start().awaitTermination(120)
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [(r["chain"], r["unrelaxed"], r["relaxed"]) for r in rows] == [("A", True, True)]
