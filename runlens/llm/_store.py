@@ -12,11 +12,14 @@ import uuid
 import zipfile
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import DataFrame, Row, SparkSession
 
 #: Bytes of an Arrow batch.
 ARROW_BATCH = "16m"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Tables that were made for an application and not discarded yet, and the batch size that its session had.
+_made: dict[str, list[str]] = {}
+_batches: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,7 +35,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/runlens-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/runlens-{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
@@ -56,6 +61,30 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    made = _made.get(spark.sparkContext.applicationId, [])
+    if path in made:
+        made.remove(path)
+
+
+def only_row(df: DataFrame) -> Row | None:
+    """The row of a table that has one at most, read to its end: a worker that makes it isn't cut off."""
+    rows = df.collect()
+    return rows[0] if rows else None
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete the working tables and token stores that operators of this application have left in the shared folder; how many there were.
+
+    Results are plans over these tables, so call it when they have been written or read.  It also gives the session back the Arrow batch size
+    that it had before ``prepare``.
+    """
+    made = list(_made.get(spark.sparkContext.applicationId, []))
+    for path in made:
+        delete_path(spark, path)
+    before = _batches.pop(spark.sparkContext.applicationId, None)
+    if before is not None:
+        spark.conf.set(_BATCH, before)
+    return len(made)
 
 
 def prepare(spark: SparkSession) -> None:
@@ -64,8 +93,10 @@ def prepare(spark: SparkSession) -> None:
     Arrow batches end at ``ARROW_BATCH`` where the session leaves them at Spark's default, so that texts and blobs take little
     memory at a time; and Spark brings this package to the workers, wherever the driver has it from, once for each application.
     """
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b") == str(64 << 20):
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
+    before = spark.conf.get(_BATCH)
+    if before.removesuffix("b") == str(64 << 20):
+        _batches.setdefault(spark.sparkContext.applicationId, before)
+        spark.conf.set(_BATCH, ARROW_BATCH)
     sc = spark.sparkContext
     if any(uri.endswith("/runlens-package.zip") for uri in sc.listFiles):
         return

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._store import discard, materialise, plain
+from ._store import discard, materialise, only_row, plain
 
 #: Vectors that the cells are fitted on at most (those with the smallest digests of their ids), and rounds of fitting.
 SAMPLE_ROWS, ROUNDS = 20_000, 6
@@ -244,7 +244,7 @@ def nearest(
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"c": [fit_cells(np.stack(pdf["v"].to_numpy()).astype("<f8"), cells).tobytes()]})
 
-    centroids = np.frombuffer(bounded.groupBy().applyInPandas(fit, "c binary").first()["c"], "<f8").reshape(-1, dim)  # CELL_BYTES at most
+    centroids = np.frombuffer(only_row(bounded.groupBy().applyInPandas(fit, "c binary"))["c"], "<f8").reshape(-1, dim)  # CELL_BYTES at most
     shared = spark.sparkContext.broadcast((centroids, rotation(dim)))
 
     def assign(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -5,8 +5,8 @@ letters themselves, or a mark for a word that repeats the one before it).  N-gra
 of 2**bits weights; a text's features are the distinct n-grams' slots with log-scaled counts, normalised to length
 one.  A score is the logistic of a sparse dot product, so scoring is one pass over the rows with no shuffle.
 
-The model is trained in one task on at most ``max_rows`` labelled rows (those with the smallest hashes of their ids,
-the bound is a documented parameter); the trained table has a fixed size and is what is broadcast.
+The model is trained in one task on at most ``max_rows`` labelled rows (those with the smallest hashes of their ids) with at most
+``max_bytes`` of features; both bounds are documented parameters.  The trained table has a fixed size and is what is broadcast.
 """
 
 from __future__ import annotations
@@ -20,14 +20,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._store import others, plain
+from ._store import only_row, others, plain
 from ._words import ngram_hashes, slices, words_of
 
-#: Labelled rows that a model is fitted on at most.
-MAX_ROWS = 12_000
+#: Labelled rows that a model is fitted on at most, and bytes of their features at most (eight for each).
+MAX_ROWS, MAX_BYTES = 12_000, 256 << 20
 BITS = 18
 WORD_NGRAMS = (1, 2)
 SHAPE_NGRAMS = (1, 2, 3)
@@ -153,12 +153,13 @@ def train(
     max_rows: int = MAX_ROWS,
     bits: int = BITS,
     epochs: int = 2,
+    max_bytes: int = MAX_BYTES,
 ) -> Model:
     """Fit a model on the labelled rows of ``docs``.
 
     Rows of ``labels`` with a null id, a label that is not 0 or 1, or an id without a document teach nothing.  An id
     with several labels counts with each of the different ones.  Of more than ``max_rows`` rows, those with the
-    smallest hashes of their ids are taken.  Without any rows, every score is a half.
+    smallest hashes of their ids are taken, and of these the first whose features have at most ``max_bytes`` together.  Without any rows, every score is a half.
     """
     marked, i, own = plain(labels, id_col, label_col)
     picked = (
@@ -187,7 +188,10 @@ def train(
                 at += n
 
     found = rows.select("id", "label", "pick", "text").mapInArrow(extract, "id long, label int, pick long, slots binary, features binary")
-    fitted = found.groupBy().applyInPandas(lambda pdf: _fit(pdf, bits, epochs), "weights binary, bias double").first()
+    before = Window.orderBy("pick", "id", "label").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # max_rows rows at most
+    held = F.sum(F.octet_length("slots") + F.octet_length("features")).over(before)
+    found = found.withColumn("held", held).where(F.col("held") <= max_bytes).drop("held")
+    fitted = only_row(found.groupBy().applyInPandas(lambda pdf: _fit(pdf, bits, epochs), "weights binary, bias double"))
     if fitted is None:
         return Model(np.zeros(1 << bits, np.float32), 0.0)
     return Model(np.frombuffer(fitted["weights"], np.float32), fitted["bias"])

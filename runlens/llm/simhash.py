@@ -53,9 +53,9 @@ class View:
 
 
 SHINGLES = View()
-#: Shingles of four words, and three independent views of the set of words.  An edit changes few words but many shingles: with these a pair
+#: Shingles of four words, and five independent views of the set of words.  An edit changes few words but many shingles: with these a pair
 #: whose five-word shingles have a Jaccard similarity of 0.8 or more is nearly always linked, directly or by others of its group.
-NEAR_COPIES = (SHINGLES, *(View(1, 42, True, salt) for salt in (1, 2, 3)))
+NEAR_COPIES = (SHINGLES, *(View(1, 42, True, salt) for salt in (1, 2, 3, 4, 5)))
 
 
 def _fold(h: np.ndarray) -> int:

@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import discard, materialise, plain
+from ._store import discard, materialise, only_row, plain
 
 LENGTH = 50
 ANCHOR = 24
@@ -611,7 +611,7 @@ def remove_repeats(
         return pd.DataFrame({"splitters": [choose_splitters(b"".join(pdf["bits"]), anchor, buckets)]})
 
     # The sample has some RANGE_SAMPLE strings for each of MOST_RANGES ranges at most, whatever the table's size.
-    found = bits.where("segment = -1").groupBy().applyInPandas(split, "splitters binary").first()
+    found = only_row(bits.where("segment = -1").groupBy().applyInPandas(split, "splitters binary"))
     shared = table.sparkSession.sparkContext.broadcast(bytes(found["splitters"]) if found else b"")
 
     def send_runs(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

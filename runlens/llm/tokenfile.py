@@ -37,13 +37,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._store import discard, materialise, plain
+from ._store import discard, materialise, only_row, plain
 from ._words import slices, text_buffers
 
 END_ID = 2
 MAGIC, TAIL = b"RLTOKID1", b"RLTOKEND\n"
-#: Documents that the dictionary is trained on at most, and the dictionary's size.
-DICTIONARY_ROWS, DICTIONARY_BYTES = 2000, 64 << 10
+#: Documents that the dictionary is trained on at most, parts of their serialized ids at most, bytes of a part, and the dictionary's size.
+DICTIONARY_ROWS, DICTIONARY_PARTS, PART_BYTES, DICTIONARY_BYTES = 2000, 4000, 16 << 10, 64 << 10
 #: Bytes of frames in a shard (one document at least), and distinct pieces that a worker's cache holds.
 SHARD_BYTES, CACHE_PIECES = 4 << 20, 250_000
 LEVEL = 3
@@ -220,30 +220,36 @@ def encoder(path: str) -> Encoder:
 def train_dictionary(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, rows: int, size: int) -> bytes:
     """A zstandard dictionary from the serialized ids of at most ``rows`` documents, those with the smallest digests of their ids.
 
-    If the samples are too few or too small for training, the dictionary is empty and frames need none.
+    Ids are taken in parts of ``PART_BYTES``; of more than ``DICTIONARY_PARTS`` those with the smallest digests of document and place, so what one
+    task trains on is bounded however long the documents are.  If the samples are too few or too small for training, the dictionary is empty and frames need none.
     """
     docs, i, t = plain(docs, id_col, text_col)
     picked = docs.select(F.col(i).cast("long").alias("id")).where("id is not null").withColumn("pick", F.md5(F.col("id").cast("string")))
     picked = picked.orderBy("pick").limit(rows).select("id").distinct()
     texts = docs.select(F.col(i).cast("long").alias("id"), F.col(t).cast("string").alias("text")).join(F.broadcast(picked), "id")
 
+    schema = pa.schema([("id", pa.int64()), ("part", pa.int64()), ("ids", pa.binary())])
+
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
         for batch in batches:
             dtype = id_type(own.vocabulary)
-            ids = [np.append(x, end_id).astype(dtype).tobytes() for x in own.encode(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["id", "ids"])
+            for doc, x in zip(batch.column(0).to_pylist(), own.encode(batch.column(1)), strict=True):
+                raw = np.append(x, end_id).astype(dtype).tobytes()
+                parts = [raw[i : i + PART_BYTES] for i in range(0, len(raw), PART_BYTES)]
+                yield pa.RecordBatch.from_pydict({"id": [doc] * len(parts), "part": list(range(len(parts))), "ids": parts}, schema)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         try:
-            own = pdf.sort_values(["id", "ids"])["ids"]
-            parts = [x[i : i + (16 << 10)] for x in own for i in range(0, len(x), 16 << 10)]
-            trained = zstandard.train_dictionary(size, parts).as_bytes()
+            own = pdf.sort_values(["id", "part", "ids"])["ids"]
+            trained = zstandard.train_dictionary(size, list(own)).as_bytes()
         except zstandard.ZstdError:
             trained = b""
         return pd.DataFrame({"dictionary": [trained]})
 
-    found = texts.select("id", "text").mapInArrow(sample, "id long, ids binary").groupBy().applyInPandas(fit, "dictionary binary").first()
+    parts = texts.select("id", "text").mapInArrow(sample, "id long, part long, ids binary")
+    parts = parts.withColumn("pick", F.md5(F.concat_ws("/", "id", "part"))).orderBy("pick", "ids").limit(DICTIONARY_PARTS).select("id", "part", "ids")
+    found = only_row(parts.groupBy().applyInPandas(fit, "dictionary binary"))
     return bytes(found["dictionary"]) if found else b""
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._store import materialise, others, plain
+from ._store import materialise, only_row, others, plain
 
 ALLOW, BLOCK = "allow", "block"
 #: Fixed values.  (rule, verdict); a rule is a host and a path prefix, "com/": the first slash parts them.
@@ -218,7 +218,7 @@ def judge(
     seen = entries.agg(weight.alias("bytes"), F.array_sort(F.collect_set(F.when(F.col("kind") == 0, F.length("path")))).alias("lengths")).first()
     if seen["bytes"] > most_bytes:
         return _by_parts(rows, own, entries, seen["lengths"], max(1, -(-seen["bytes"] // PART_BYTES))).toDF(*names)
-    found = images(entries, seen["lengths"], 1).first()  # MOST_BYTES at most
+    found = only_row(images(entries, seen["lengths"], 1))  # MOST_BYTES at most
     name = _ship(spark, bytes(found["image"]) if found else DigestArray.build([], [], []))
     schema = T.StructType([*rows.schema.fields, T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())])
 

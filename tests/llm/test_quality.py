@@ -1,10 +1,13 @@
 """The quality classifier: features, updates and held-out accuracy."""
 
+import math
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from runlens.llm import quality
 from runlens.llm._words import ngram_hashes, words_of
@@ -70,6 +73,65 @@ def test_ftrl_against_a_plain_loop():
     assert np.allclose(learner.z, z) and np.allclose(learner.n, n)
 
 
+MASK = (1 << 64) - 1
+
+
+def plain_features(text, bits):
+    """{slot: value} of a text's hashed n-grams of words and of shapes, one at a time."""
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+    shapes = []
+    for i, w in enumerate(words):
+        kind = re.sub(r"\d+", "0", re.sub(r"[^\W\d_]+", "a", w.decode("utf-8", "replace")))
+        shapes.append(0x5851F42D4C957F2D if i and words[i - 1] == w else xxhash.xxh64_intdigest(b"\0" + kind.encode()))
+    counts = {}
+    for stream, sizes in (([xxhash.xxh64_intdigest(w) for w in words], (1, 2)), (shapes, (1, 2, 3))):
+        for size in sizes:
+            for i in range(len(stream) - size + 1):
+                h = stream[i]
+                for x in stream[i + 1 : i + size]:
+                    h = ((h ^ (h >> 29)) * 0x9E3779B97F4A7C15 + x) & MASK
+                h ^= h >> 32
+                slot = (h * (2 * size + 1) & MASK) >> (64 - bits)
+                counts[slot] = counts.get(slot, 0) + 1
+    values = {s: math.log1p(c) for s, c in counts.items()}
+    length = math.sqrt(sum(v * v for v in values.values()))
+    return {s: v / length for s, v in values.items()}
+
+
+def plain_model(rows, bits=18, epochs=2, alpha=4.0, beta=1.0, l1=0.1):
+    """Weights {slot: w} and bias by the textbook's updates, one coordinate at a time; rows are (text, label) in the order of training."""
+    z, n, zb, nb = {}, {}, 0.0, 0.0
+
+    def weight(s):
+        return 0.0 if abs(z.get(s, 0.0)) <= l1 else -(z[s] - math.copysign(l1, z[s])) / ((beta + math.sqrt(n[s])) / alpha)
+
+    made = [(plain_features(t, bits), y) for t, y in rows]
+    rng = np.random.default_rng(1)
+    for _ in range(epochs):
+        for i in rng.permutation(len(made)):
+            values, label = made[i]
+            w, bias = {s: weight(s) for s in values}, -zb / ((beta + math.sqrt(nb)) / alpha)
+            d = 1 / (1 + math.exp(-(sum(w[s] * v for s, v in values.items()) + bias))) - label
+            for s, v in values.items():
+                g, old = d * v, n.get(s, 0.0)
+                z[s] = z.get(s, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / alpha * w[s]
+                n[s] = old + g * g
+            zb += d - (math.sqrt(nb + d * d) - math.sqrt(nb)) / alpha * bias
+            nb += d * d
+    return {s: weight(s) for s in z}, -zb / ((beta + math.sqrt(nb)) / alpha)
+
+
+def plain_score(text, weights, bias, bits=18):
+    return 1 / (1 + math.exp(-(sum(weights.get(s, 0.0) * v for s, v in plain_features(text, bits).items()) + bias)))
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "One", "a b c a b b b", "Ünï 12,345 %% x9x A_B don't", "é É 中文 word\x0bword " * 40])
+def test_features_against_a_plain_loop(text):
+    (_, slots, values), = quality.features(pa.array([text], pa.string()))
+    want = plain_features(text, quality.BITS)
+    assert dict(zip(slots.tolist(), values.tolist(), strict=True)) == pytest.approx(want, abs=1e-6)
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     import random
@@ -89,6 +151,23 @@ def test_held_out_accuracy(model):
     assert {r["doc_id"] for r in labels.where(quality.held_out()).collect()} == {i for i, *_ in rows if zlib.crc32(str(i).encode()) % 4 == 2}
 
 
+def test_bytes_bound_the_training_rows(spark, model):
+    """With few bytes only the first rows in order teach; the model is that of these rows alone."""
+    docs, labels, fitted, rows = model
+    train = labels.where(~quality.held_out())
+    sizes = {i: 8 * len(plain_features(t, 18)) for i, t, _ in rows}
+    order = train.selectExpr("doc_id", "xxhash64(doc_id, quality) as pick").orderBy("pick").collect()
+    some, held = [], 0
+    for r in order:
+        held += sizes[r["doc_id"]]
+        if held > 40_000:
+            break
+        some.append(r["doc_id"])
+    few = quality.train(docs, train, max_bytes=40_000)
+    alone = quality.train(docs, train.where(train.doc_id.isin(some)))
+    assert 5 < len(some) < 400 and np.array_equal(few.weights, alone.weights) and not np.array_equal(few.weights, fitted.weights)
+
+
 def test_same_model_again(model):
     docs, labels, fitted, _ = model
     again = quality.train(docs.repartition(7), labels.where(~quality.held_out()).repartition(3))

@@ -122,3 +122,13 @@ def test_the_manifest_counts_what_the_files_hold(spark, docs_of, tmp_path):
         shard = tokenfile.Shard(bytes(r["content"]), dictionary)
         read[r["shard"]] = (len(shard.ids), int(shard.tokens.sum()))
     assert told == read and len(read) > 2
+
+
+def test_the_dictionary_is_trained_on_bounded_parts(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(tokenfile, "PART_BYTES", 64)
+    docs = docs_of([(i, " ".join(f"word{(i * k) % 97}" for k in range(300))) for i in range(60)])
+    whole = tokenfile.train_dictionary(docs, "doc_id", "text", PATH, 2, 2000, 4 << 10)
+    monkeypatch.setattr(tokenfile, "DICTIONARY_PARTS", 200)
+    few = tokenfile.train_dictionary(docs.repartition(3), "doc_id", "text", PATH, 2, 2000, 4 << 10)
+    assert few and whole and few != whole
+    assert few == tokenfile.train_dictionary(docs, "doc_id", "text", PATH, 2, 2000, 4 << 10)
