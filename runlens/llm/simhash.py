@@ -39,6 +39,8 @@ MAX_BITS = 4
 BLOCK = 16_384
 #: Variants that are expanded at a time, fingerprints that a bucket holds on average at most, and bits of a bucket at least.
 PART_VARIANTS, BUCKET_FINGERPRINTS = 2_000_000, 500_000
+#: Variants for each task.
+TASK_VARIANTS = 10_000_000
 LEAST_BITS, MOST_BITS = 7, 28
 
 
@@ -231,6 +233,8 @@ def near_links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFra
         return pd.DataFrame(dict(zip("ab", _meet(int(pdf["bucket"].iloc[0]), fps, bits, masks, max_bits), strict=True)))
 
     variants = distinct.select("fp").repartition(max(1, -(-n // BLOCK))).mapInPandas(emit, "bucket int, fps binary")
+    # A few bytes make very many variants, so tasks are counted by variants and not left to be merged by their bytes.
+    variants = variants.repartition(max(1, min(1 << bits, -(-n * len(masks) // TASK_VARIANTS))), "bucket")
     return variants.groupBy("bucket").applyInPandas(meet, "a long, b long")
 
 
