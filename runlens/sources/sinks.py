@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
+
+from .files import read_csv_by_name
 
 
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
@@ -18,3 +21,20 @@ def write_matrix(df: DataFrame, path: str) -> None:
 def write_text(text: str, path: str, df: DataFrame) -> None:
     """A report, through the session of ``df``."""
     df.sparkSession.range(1).selectExpr("cast(null as string) as value").na.fill(text, ["value"]).coalesce(1).write.mode("overwrite").text(path)
+
+
+def copy_csv(spark: SparkSession, source: str, target: str) -> bool:
+    """Pass a headed CSV summary on as it is, every column as text; False, and nothing written, where there is none."""
+    try:
+        table = read_csv_by_name(spark, source)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    write_csv(table, target, one_file=True)
+    return True
+
+
+def preview(df: DataFrame, n: int = 10) -> tuple[int, list[Row]]:
+    """The number of rows, and ``n`` of them as they come."""
+    return df.count(), df.limit(n).collect()

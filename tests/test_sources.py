@@ -82,6 +82,24 @@ def test_csv(spark, tmp_path):
     assert [r[0] for r in spark.read.text(str(tmp_path / "t")).collect()] == ["line one", "line two"]
 
 
+def test_copy_and_preview(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("chain,rate,note\nNA,0.10,\"a, b\"\n1e10,nan,x\n")
+    assert sources.copy_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "b"))
+    assert not sources.copy_csv(spark, str(tmp_path / "none.csv"), str(tmp_path / "c")) and not os.path.exists(tmp_path / "c")
+    copied = sources.read_csv_by_name(spark, str(tmp_path / "b"))
+    assert [tuple(r) for r in copied.collect()] == [("NA", "0.10", "a, b"), ("1e10", "nan", "x")]
+    n, head = sources.preview(copied, 1)
+    assert n == 2 and len(head) == 1
+
+
+def test_scatter(spark):
+    from runlens.operators import quality
+
+    df = spark.createDataFrame([(80.0, 1), (None, 0), (70.0, 0)], "mean_plddt double, relax_error int")
+    rows, again = (quality.scatter_inputs(df).collect() for _ in range(2))
+    assert rows == again and sorted((r[0], r[1]) for r in rows) == [(70.0, 0), (80.0, 1)] and all(abs(r[2] - r[1]) < 0.3 for r in rows)
+
+
 def test_matrix(spark, tmp_path):
     cells = spark.createDataFrame([("A", 1, 5), ("B", 2, 3)], "chain string, epoch int, success int")
     from runlens.operators import selection
