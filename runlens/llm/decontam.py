@@ -32,6 +32,8 @@ THRESHOLD = 0.8
 #: Signature hashes that are broadcast at most (16 bytes each, besides the texts of the items).
 MOST_MINIMA = 500_000
 MOST_ITEM_BYTES = 64 << 20
+#: Keys that a shingle is parted into where signatures are joined.
+SALTS = 16
 
 
 def shingles(text: str | None, n: int = SHINGLE_WORDS) -> list[bytes]:
@@ -233,8 +235,10 @@ def _by_shuffle(rows: DataFrame, index: _Index) -> DataFrame:
                     found = pd.DataFrame({"row": ids[of], "hash": h.view(np.int64)}).drop_duplicates()
                     yield pa.RecordBatch.from_pandas(found.assign(words=np.int32(length)), preserve_index=False)
 
-    grams = rows.select("row", "text").mapInArrow(hashes, "row long, hash long, words int")
-    pairs = grams.join(index.signatures, ["hash", "words"]).select("row", "item_id").distinct()
+    grams = rows.select("row", "text").mapInArrow(hashes, "row long, hash long, words int").withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS)).cast("int"))
+    # A shingle that very many documents have is as many keys as there are salts.
+    minima_of = index.signatures.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    pairs = grams.join(minima_of, ["hash", "words", "salt"]).select("row", "item_id").distinct()
     texts = pairs.join(index.items, "item_id").join(rows, "row").select("row", "doc_id", "text", "item_id", "item_text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
