@@ -45,8 +45,10 @@ MAGIC, TAIL = b"RLTOKID1", b"RLTOKEND\n"
 #: Documents that the dictionary is trained on at most, parts of their serialized ids at most, bytes of a part, and the dictionary's size.
 DICTIONARY_ROWS, DICTIONARY_PARTS, PART_BYTES, DICTIONARY_BYTES = 2000, 4000, 16 << 10, 64 << 10
 #: Bytes of frames in a shard (one document at least), and distinct pieces that a worker's cache holds.
-SHARD_BYTES, CACHE_PIECES = 4 << 20, 250_000
+SHARD_BYTES, CACHE_PIECES = 4 << 20, 400_000
 LEVEL = 3
+#: Bytes of text that are taken apart at a time: with more, fewer pieces are looked up twice.
+SLICE_BYTES = 4 << 20
 _NO_ID = np.iinfo(np.int64).max
 
 _CLASS = np.full(256, 3, np.uint8)  # 0 space, 1 sign, 2 letter or digit, 3 anything else
@@ -173,7 +175,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, whole; null and empty texts have none."""
-        for start, stop in slices(texts):
+        for start, stop in slices(texts, SLICE_BYTES):
             part = texts.slice(start, stop - start)
             if self.by_pieces:
                 yield from self._encode(part)
