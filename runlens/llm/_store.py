@@ -87,6 +87,11 @@ def clean_up(spark: SparkSession) -> int:
     return len(made)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that have been written down: it does so when the driver collects garbage, and this asks it to."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def prepare(spark: SparkSession) -> None:
     """What the registered queries ask of a session before they start Python workers.
 

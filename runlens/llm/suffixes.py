@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import discard, materialise, only_row, plain
+from ._store import discard, materialise, only_row, plain, release_shuffles
 
 LENGTH = 50
 ANCHOR = 24
@@ -606,6 +606,7 @@ def remove_repeats(
     sent = table.mapInPandas(send_hashes, "segment long, bucket int, hashes binary, several binary, heavy binary, sample binary")
     bits = sent.groupBy("bucket").applyInPandas(lambda pdf: _answer_hashes(pdf, anchor), "segment long, bucket int, bits binary")
     bits = materialise(bits, "answers")
+    release_shuffles(table.sparkSession)
 
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"splitters": [choose_splitters(b"".join(pdf["bits"]), anchor, buckets)]})
@@ -630,6 +631,7 @@ def remove_repeats(
     merged = runs.groupBy("goes").applyInPandas(lambda pdf: _answer_runs(pdf, length, anchor), "segment long, bucket int, least binary")
     merged = materialise(merged, "answers")
     discard(bits)
+    release_shuffles(table.sparkSession)
     both = _with_answers(table, merged, "least")
 
     def cut(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
