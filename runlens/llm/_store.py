@@ -88,8 +88,12 @@ def clean_up(spark: SparkSession) -> int:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that have been written down: it does so when the driver collects garbage, and this asks it to."""
-    spark.sparkContext._jvm.java.lang.System.gc()
+    """Let Spark delete the shuffle files of plans that have been written down: it does so when the driver collects garbage, and this asks it to.
+
+    Twice, since the last execution is let go of only by the first time.
+    """
+    for _ in range(2):
+        spark.sparkContext._jvm.java.lang.System.gc()
 
 
 def prepare(spark: SparkSession) -> None:
