@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._store import only_row, others, plain
@@ -174,6 +174,8 @@ def train(
     rows = rows.select(F.col(i).cast("long").alias("id"), F.col(t).cast("string").alias("text"))
     rows = rows.join(F.broadcast(picked), "id")  # max_rows rows of three numbers at most
 
+    names = ["id", "label", "pick", "slots", "features"]
+
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, at = batch.column(3), 0
@@ -183,15 +185,25 @@ def train(
                 own = batch.slice(at, n)
                 yield pa.RecordBatch.from_arrays(
                     [own.column(0), own.column(1), own.column(2), pa.array([c[0] for c in cut], pa.binary()), pa.array([c[1] for c in cut], pa.binary())],
-                    names=["id", "label", "pick", "slots", "features"],
+                    names=names,
                 )
                 at += n
 
     found = rows.select("id", "label", "pick", "text").mapInArrow(extract, "id long, label int, pick long, slots binary, features binary")
-    before = Window.orderBy("pick", "id", "label").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # max_rows rows at most
-    held = F.sum(F.octet_length("slots") + F.octet_length("features")).over(before)
-    found = found.withColumn("held", held).where(F.col("held") <= max_bytes).drop("held")
-    fitted = only_row(found.groupBy().applyInPandas(lambda pdf: _fit(pdf, bits, epochs), "weights binary, bias double"))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, held = [], 0
+        for batch in batches:  # in order; what is beyond the bound is read but not kept
+            for row in zip(*(batch.column(c) for c in range(5)), strict=True):
+                held += len(row[3].as_buffer()) + len(row[4].as_buffer())
+                if held <= max_bytes:
+                    kept.append([x.as_py() for x in row])
+        if kept:
+            yield pa.RecordBatch.from_pandas(_fit(pd.DataFrame(kept, columns=names), bits, epochs), preserve_index=False)
+
+    # One task, which is sent its rows batch by batch.
+    ordered = found.repartition(1).sortWithinPartitions("pick", "id", "label")
+    fitted = only_row(ordered.mapInArrow(fit, "weights binary, bias double"))
     if fitted is None:
         return Model(np.zeros(1 << bits, np.float32), 0.0)
     return Model(np.frombuffer(fitted["weights"], np.float32), fitted["bias"])

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import discard, materialise, plain
+from ._store import discard, materialise, plain, release_shuffles
 from .components import connected_components
 
 MAX_BITS = 4
@@ -305,6 +305,7 @@ def keep_one_of_each(
     judged = seen.join(groups, fps).select(*key, "n", (F.struct(*key) == F.col("least")).alias("first"))
     gone = materialise(judged.where("not first").select(*key), "gone")
     again = materialise(judged.where("first and n > 1").select(*key), "repeated")
+    release_shuffles(docs.sparkSession)
     kept = rows.join(gone, key, "left_anti")
     if not again.isEmpty():
         kept = kept.join(again, key, "left_anti").select(*rows.columns).union(rows.join(again, key, "left_semi").select(*rows.columns).dropDuplicates(key))
