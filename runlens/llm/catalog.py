@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import decontam, licenses, mixing, neighbours, quality, sharding, simhash, suffixes, tokenfile, urls
 from ._store import fresh_path, prepare, read_table
+from .fingerprint_sql import simhash_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,6 +119,36 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+#: Every 50-byte string with the least document that has it; texts are cut up 1,000 starts at a time, since a slice costs its whole text.
+ORACLES["op5_suffix_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents
+), c AS (
+  SELECT doc_id, o, b[o + 1:o + 1049] AS p FROM (SELECT doc_id, b, unnest(range(0, octet_length(b), 1000)) AS o FROM d)
+), w AS (
+  SELECT doc_id, o + i AS i, p[i:i + 49] AS x
+  FROM (SELECT doc_id, o, p, unnest(range(1, octet_length(p) - 48)) AS i FROM c)
+), again AS (
+  SELECT doc_id, i FROM w JOIN (SELECT x, min(doc_id) AS least FROM w GROUP BY x) USING (x) WHERE doc_id > least
+), runs AS (
+  SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run
+  FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM again)
+), spans AS (
+  SELECT doc_id, min(i) AS first, max(i) + 49 AS last FROM runs GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, first, last, coalesce(lag(last) OVER (PARTITION BY doc_id ORDER BY first), 0) AS before FROM spans
+), cut AS (
+  SELECT doc_id, count(*) AS n_spans, sum(last - first + 1) AS n_removed, max(last) AS ended,
+         string_agg(CASE WHEN first - before > 1 THEN hex(b[before + 1:first - 1]) ELSE '' END, '' ORDER BY first) AS kept
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') ||
+         CASE WHEN coalesce(ended, 0) < octet_length(b) THEN hex(b[coalesce(ended, 0) + 1:octet_length(b)]) ELSE '' END)) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+
 @query
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every query vector."""
@@ -224,6 +255,9 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+ORACLES["op9_simhash_near_dedup"] = simhash_sql(words=4, seed=42, max_bits=4)
+
+
 @query
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's share in a mix of all sources."""

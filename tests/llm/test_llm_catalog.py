@@ -168,3 +168,18 @@ def test_working_tables_can_be_cleaned_up(spark):
 def test_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier"
+
+
+AWKWARD = [None, "", " \n\t", "One", "a b c", "A b C d", "é ÉCOLE Straße 中文 words\x0band more " * 9, "x y z w v " * 300, "w" * 31, "w" * 32, "w" * 100 + " " + "é" * 61 + " tail"]
+AWKWARD += [("passage of text that many share, " * 3)[: 40 + 13 * k] + chr(97 + k) * k for k in range(8)] + ["".join(map(chr, range(33, 33 + k))) for k in range(1, 40)]
+
+
+def test_sql_of_awkward_texts():
+    """The SQL of op5 and op9 is itself held against plain loops: every length of a digest's tail, nulls, long words, overlapping repeats."""
+    con, rows = duckdb.connect(), list(enumerate(AWKWARD + AWKWARD[::-1]))
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    fps, low = components(rows)
+    assert sorted(con.execute(catalog.ORACLES["op9_simhash_near_dedup"]).fetchall()) == [(i, f"{fps[i][0]:016x}", low[i]) for i in sorted(fps)]
+    want = sorted(x[:5] for x in slow([(i, (t or "").encode()) for i, t in rows], 50))
+    assert sorted(con.execute(catalog.ORACLES["op5_suffix_dedup"]).fetchall()) == want
