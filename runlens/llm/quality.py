@@ -134,12 +134,12 @@ class Ftrl:
 def _fit(pdf: pd.DataFrame, bits: int, epochs: int) -> pd.DataFrame:
     pdf = pdf.sort_values(["pick", "id"])
     slots = [np.frombuffer(x, np.uint32) for x in pdf["slots"]]
-    values = [np.frombuffer(x, np.float32).astype(np.float64) for x in pdf["features"]]
+    values = [np.frombuffer(x, np.float32) for x in pdf["features"]]  # widened one at a time
     labels = pdf["label"].to_numpy()
     learner, rng = Ftrl(bits), np.random.default_rng(1)
     for _ in range(epochs):
         for i in rng.permutation(len(labels)):
-            learner.update(slots[i], values[i], int(labels[i]))
+            learner.update(slots[i], values[i].astype(np.float64), int(labels[i]))
     model = learner.model()
     return pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
 
