@@ -51,8 +51,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         discard(now, least)
         now = new
         # Done when the links are stars, no node being an end of one and the head of another, and each end has one head.
-        heads = now.select(F.col("b").alias("a")).distinct()
-        if now.join(heads, "a", "left_semi").isEmpty() and now.groupBy("a").count().where("count > 1").isEmpty():
+        roles = now.select("a", F.lit(1).alias("ends"), F.lit(0).alias("heads")).union(now.select("b", F.lit(0), F.lit(1)))
+        if roles.groupBy("a").agg(F.sum("ends").alias("ends"), F.max("heads").alias("heads")).where("ends > 1 or ends = 1 and heads = 1").isEmpty():
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -209,33 +208,46 @@ def near_links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFra
 
     ``distinct`` has each fingerprint once, in column ``fp``; ``n`` is their number.
     """
+    return _links_by_view(distinct.select(F.lit(0).alias("view"), "fp"), n, 1, max_bits).select("a", "b")
+
+
+def _links_by_view(distinct: DataFrame, n: int, views: int, max_bits: int) -> DataFrame:
+    """(view, a, b): what ``near_links`` tells of the fingerprints of each view; ``n`` is the number of (view, fp) in all ``views``.
+
+    One plan for all views: a bucket is one of a view, and the driver's plans stay as small as for one.
+    """
     if max_bits % 2:
         raise ValueError("the ball's radius is half of max_bits, which must be even")
     masks = flip_masks(max_bits // 2)
     bits = LEAST_BITS
-    while bits < MOST_BITS and n * len(np.unique(syndrome(masks, bits))) >> bits > BUCKET_FINGERPRINTS:
+    while bits < MOST_BITS and n * len(np.unique(syndrome(masks, bits))) // views >> bits > BUCKET_FINGERPRINTS:
         bits += 1
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reached = np.unique(syndrome(masks, bits))
         for pdf in batches:
-            fps = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-            for i in range(0, len(fps), BLOCK):
-                block = fps[i : i + BLOCK]
-                goes = (syndrome(block, bits)[:, None] ^ reached[None, :]).ravel()
-                order = np.argsort(goes, kind="stable")
-                buckets, at = np.unique(goes[order], return_index=True)
-                parts = np.split(block[order // len(reached)], at[1:])
-                yield pd.DataFrame({"bucket": buckets.astype(np.int32), "fps": [x.tobytes() for x in parts]})
+            of, fps = pdf["view"].to_numpy(np.int32), pdf["fp"].to_numpy(np.int64).view(np.uint64)
+            for view in np.unique(of):
+                own = fps[of == view]
+                for i in range(0, len(own), BLOCK):
+                    block = own[i : i + BLOCK]
+                    goes = (syndrome(block, bits)[:, None] ^ reached[None, :]).ravel()
+                    order = np.argsort(goes, kind="stable")
+                    buckets, at = np.unique(goes[order], return_index=True)
+                    parts = np.split(block[order // len(reached)], at[1:])
+                    yield pd.DataFrame({"view": view, "bucket": buckets.astype(np.int32), "fps": [x.tobytes() for x in parts]})
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         fps = np.concatenate([np.frombuffer(x, "<u8") for x in pdf["fps"]])
-        return pd.DataFrame(dict(zip("ab", _meet(int(pdf["bucket"].iloc[0]), fps, bits, masks, max_bits), strict=True)))
+        a, b = _meet(int(pdf["bucket"].iloc[0]), fps, bits, masks, max_bits)
+        return pd.DataFrame({"view": np.full(len(a), pdf["view"].iloc[0], np.int32), "a": a, "b": b})
 
-    variants = distinct.select("fp").repartition(max(1, -(-n // BLOCK))).mapInPandas(emit, "bucket int, fps binary")
+    # By view, so that batches are of one view and blocks don't become small.
+    blocks = distinct.select("view", "fp").repartition(max(1, -(-n // (BLOCK * views)))).sortWithinPartitions("view")
+    variants = blocks.mapInPandas(emit, "view int, bucket int, fps binary")
     # A few bytes make very many variants, so tasks are counted by variants and not left to be merged by their bytes.
-    variants = variants.repartition(max(1, min(1 << bits, -(-n * len(masks) // TASK_VARIANTS))), "bucket")
-    return variants.groupBy("bucket").applyInPandas(meet, "a long, b long")
+    variants = variants.repartition(max(1, min(views << bits, -(-n * len(masks) // TASK_VARIANTS))), "view", "bucket")
+    return variants.groupBy("view", "bucket").applyInPandas(meet, "view int, a long, b long")
 
 
 def near_duplicates(
@@ -263,21 +275,20 @@ def _groups(combinations: DataFrame, views: int, max_bits: int) -> DataFrame:
     fps = [f"fp{k}" for k in range(views)]
     # One node for each combination of fingerprints: copies are one node from here on.
     nodes = materialise(combinations.select(*fps, "least", F.monotonically_increasing_id().alias("node")), "nodes")
-    edges, spent = [], [nodes]
-    for fp in fps:
-        heads = materialise(nodes.groupBy(F.col(fp).alias("fp")).agg(F.min("node").alias("head")), "heads")
-        spent.append(heads)
-        if len(fps) > 1:
-            edges.append(nodes.join(heads, nodes[fp] == heads["fp"]).where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")))
-        links = near_links(heads, heads.count(), max_bits)
-        ends = [heads.select(F.col("fp").alias(e), F.col("head").alias(f"{e}_head")) for e in "ab"]
-        edges.append(links.join(ends[0], "a").join(ends[1], "b").select(F.col("a_head").alias("a"), F.col("b_head").alias("b")))
-    found = connected_components(reduce(DataFrame.union, edges))
+    # All views in one plan: a part for each view made 31 exchanges of six views, all of which the driver plans and runs at a time.
+    values = nodes.select("node", F.posexplode(F.array(*fps)).alias("view", "fp"))
+    heads = materialise(values.groupBy("view", "fp").agg(F.min("node").alias("head")), "heads")
+    links = _links_by_view(heads, heads.count(), views, max_bits)
+    ends = [heads.select("view", F.col("fp").alias(e), F.col("head").alias(f"{e}_head")) for e in "ab"]
+    edges = links.join(ends[0], ["view", "a"]).join(ends[1], ["view", "b"]).select(F.col("a_head").alias("a"), F.col("b_head").alias("b"))
+    if views > 1:
+        edges = edges.union(values.join(heads, ["view", "fp"]).where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")))
+    found = connected_components(edges)
     joined = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # Written down, so that the join is one of plain tables and a component of very many nodes can be split over tasks.
     smallest = materialise(joined.groupBy("component").agg(F.min("least").alias("least")), "smallest")
     groups = materialise(joined.drop("least").join(smallest, "component").select(*fps, "least"), "groups")
-    discard(smallest, *spent)
+    discard(smallest, nodes, heads)
     return groups
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from runlens.llm import simhash
+from runlens.llm import components, simhash
 from runlens.llm.components import connected_components
 
 
@@ -171,3 +171,34 @@ def test_views(docs_of, rng):
     assert sum(c % 10 == 0 for c in got.values()) / len(got) > 0.8
     kept = simhash.keep_one_of_each(docs_of(rows)).collect()
     assert sorted(r["doc_id"] for r in kept) == sorted(set(want.values()))
+
+
+def test_views_share_their_plans(docs_of, monkeypatch):
+    """With six views no written plan has many more exchanges than with one: the driver plans, runs and keeps all of a plan at once."""
+    found = {}
+    for views in ((simhash.SHINGLES,), simhash.NEAR_COPIES):
+        plans = found.setdefault(len(views), [])
+
+        def noted(df, name, own=simhash.materialise, plans=plans, **options):
+            plans.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+            return own(df, name, **options)
+
+        for module in (simhash, components):
+            monkeypatch.setattr(module, "materialise", noted)
+        simhash.keep_one_of_each(docs_of([(i, f"some words of a text {i // 2}") for i in range(20)]), views=views).count()
+        monkeypatch.undo()
+    assert max(found[6]) <= max(found[1]) + 3
+
+
+def test_links_stay_in_their_view(spark):
+    """Fingerprints that are near, but of different views, aren't linked, and each view has the links that it has alone."""
+    rng = np.random.default_rng(8)
+    fps = np.unique(rng.integers(0, 1 << 64, 40, dtype=np.uint64))
+    fps = np.unique(np.concatenate([fps, fps ^ rng.choice(simhash.flip_masks(2), len(fps))])).view(np.int64).tolist()
+    of = {view: sorted(rng.choice(fps, 50, replace=False).tolist()) for view in range(3)}
+    df = spark.createDataFrame([(v, f) for v, own in of.items() for f in own], "view int, fp long").repartition(5)
+    links = simhash._links_by_view(df, 150, 3, 4).collect()
+    for view, own in of.items():
+        near = [(a, b) for a in own for b in own if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 4]
+        assert slow_components(own, [(r["a"], r["b"]) for r in links if r["view"] == view]) == slow_components(own, near)
+        assert near and all(r["a"] in own and r["b"] in own for r in links if r["view"] == view)
